@@ -115,7 +115,7 @@ def changed_cells(spec: ResourceSpec, compared: DataFrame) -> DataFrame:
     region = F.lit(spec.fixed_region) if spec.fixed_region else F.col("region")
     exploded = compared.where(F.size("_changes") > 0).select(
         F.lit(spec.service_type).alias("service_type"),
-        F.col(spec.resource_id).alias("resource_id"),
+        F.col(spec.resource_id).cast("string").alias("resource_id"),
         F.col("account_id"),
         region.alias("region"),
         F.explode("_changes").alias("c"),
