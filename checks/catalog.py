@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from checks import state  # noqa: F401
+from checks import audit, cells, state  # noqa: F401
 from checks.base import CHECKS  # noqa: F401

@@ -83,11 +83,24 @@ def label_when(cond: Column, *parts: Column | str) -> Column:
 
 
 def human_bytes(n: Column) -> Column:
-    """Byte count as text with two decimals and a unit from B to TB (powers of 1024)."""
+    """Byte count as text with two decimals and a unit from B to TB (powers of 1024).
+
+    Hundredths are counted in whole numbers and ties go to the even digit, so 848000 is "828.12 KB".
+    """
     out = F.when(n == 0, F.lit("0 B"))
     for unit, power in (("TB", 4), ("GB", 3), ("MB", 2), ("KB", 1)):
-        size = float(1024**power)
-        out = out.when(n >= F.lit(size), F.format_string("%.2f %s", n.cast("double") / F.lit(size), F.lit(unit)))
+        size = F.lit(1024**power).cast("long")
+        cents = F.call_function("div", n * 100, size)
+        rest = (n * 100 % size) * 2
+        up = (rest > size) | ((rest == size) & (cents % 2 == 1))
+        cents = cents + F.when(up, F.lit(1)).otherwise(F.lit(0))
+        shown = F.concat(
+            F.call_function("div", cents, F.lit(100)).cast("string"),
+            F.lit("."),
+            F.lpad((cents % 100).cast("string"), 2, "0"),
+            F.lit(f" {unit}"),
+        )
+        out = out.when(n >= size, shown)
     return out.otherwise(F.concat(n.cast("string"), F.lit(" B")))
 
 
