@@ -1,8 +1,10 @@
 """Relational enrichment of resources by their neighbours, all as equi joins.
 
 No side is force-broadcast: lookups grow with the inventory, so Spark's runtime size check decides.
-A gathered id list is one cell of the output row; ``collect_set`` builds it from per-task partial
-sets, so repeated ids never travel.
+A gathered id list is one cell of the output row, so it fits the lists cloud quotas bound (subnets
+of a network, groups of an interface); ``collect_set`` builds it from per-task partial sets and
+repeated ids never travel. For relations without such a bound use the pair forms, which keep one row
+per pair.
 """
 
 from __future__ import annotations
@@ -50,16 +52,24 @@ def last_association(df: DataFrame, links: DataFrame, key: list[str], item: str,
     return df.join(last, key, "left").withColumn(into, F.coalesce(F.col(into), F.lit("")))
 
 
+def member_pairs(holders: DataFrame, scope: list[str], key: str, members: str, item: str) -> DataFrame:
+    """(key, item) pairs of holders whose member array contains the key; one row per pair, no lists."""
+    return holders.select(*scope, F.explode(members).alias(key), item).distinct()
+
+
+def end_pairs(edges: DataFrame, scope: list[str], key: str, sides: tuple[str, str], item: str) -> DataFrame:
+    """(key, item) pairs of edges that touch the key on either end, instead of an OR join."""
+    return edges.select(*scope, F.explode(F.array_distinct(F.array(*sides))).alias(key), item).distinct()
+
+
 def containing(df: DataFrame, holders: DataFrame, scope: list[str], key: str, members: str, item: str, into: str) -> DataFrame:
-    """Holders whose member array contains the key: the array is exploded, then an equi gather."""
-    pairs = holders.select(*scope, F.explode(members).alias(key), item)
-    return gather(df, pairs, [*scope, key], item, into)
+    """Ids of the holders whose member array contains the key."""
+    return gather(df, member_pairs(holders, scope, key, members, item), [*scope, key], item, into)
 
 
 def either_side(df: DataFrame, edges: DataFrame, scope: list[str], key: str, sides: tuple[str, str], item: str, into: str) -> DataFrame:
-    """Edges touching the key on either end: a union of the two ends instead of an OR join."""
-    ends = edges.select(*scope, F.explode(F.array_distinct(F.array(*sides))).alias(key), item)
-    return gather(df, ends, [*scope, key], item, into)
+    """Ids of the edges that touch the key on either end."""
+    return gather(df, end_pairs(edges, scope, key, sides, item), [*scope, key], item, into)
 
 
 def two_hop(df: DataFrame, middle: DataFrame, key: list[str], members: str, into: str) -> DataFrame:
