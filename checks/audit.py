@@ -30,7 +30,7 @@ def pick(kind: Column, index: int) -> Column:
 
 
 def as_audit(spark: SparkSession, sf: str) -> DataFrame:
-    ev = table(spark, sf, "events")
+    ev = table(spark, sf, "events", spread=True)
     return ev.withColumns(
         {
             "event_name": pick(F.col("event_type"), 0),
@@ -203,7 +203,7 @@ def json_extract_priority(spark: SparkSession, sf: str) -> DataFrame:
         .when(kind == "purchase", js('{"zzz": 1, "dbName": "second-%s"}', uid))
         .otherwise(F.lit(None).cast("string"))
     )
-    ev = table(spark, sf, "events").withColumns({"req": req, "resp": resp})
+    ev = table(spark, sf, "events", spread=True).withColumns({"req": req, "resp": resp})
     ev = ev.withColumns({"rv": F.try_parse_json("req"), "pv": F.try_parse_json("resp")})
     source = F.lit("ec2.amazonaws.com")
     name = audit.resource_name(source, F.col("req"), F.col("rv"), F.col("resp"), F.col("pv"))
@@ -264,7 +264,7 @@ def change_summary_json(spark: SparkSession, sf: str) -> DataFrame:
     for i, (event, template) in enumerate(cases[:-1]):
         name = F.when(index == i, F.lit(event)).otherwise(name)
         req = F.when(index == i, F.format_string(template, uid)).otherwise(req)
-    ev = table(spark, sf, "events").withColumns({"name": name, "req": req})
+    ev = table(spark, sf, "events", spread=True).withColumns({"name": name, "req": req})
     ev = ev.withColumn("rv", F.try_parse_json("req"))
     return ev.select("event_id", audit.change_summary(F.col("name"), F.col("req"), F.col("rv")).alias("changes"))
 

@@ -335,7 +335,7 @@ def sig_all(spark: SparkSession, sf: str) -> DataFrame:
         ("P", "5-LOW", lit("triggers"), F.concat(lit('["'), a, lit('","'), b, lit('"]')), F.concat(lit('["'), b, lit('", "'), a, lit('"]'))),
     ]
     field, old, new = case(*rows)
-    o = table(spark, sf, "orders").select(
+    o = table(spark, sf, "orders", spread=True).select(
         "o_orderkey",
         F.coalesce(field, lit("state")).alias("field"),
         F.coalesce(old, a).alias("old"),

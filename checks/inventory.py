@@ -127,7 +127,7 @@ def res_ec2(spark: SparkSession, sf: str) -> DataFrame:
     image_doc = obj(
         Images=F.array(obj(ImageId=image, Description=F.when(pr == "4-NOT SPECIFIED", cat("image of ", cust))))
     )
-    land = Landing("ec2", table(spark, sf, "orders"), "o_orderkey")
+    land = Landing("ec2", table(spark, sf, "orders", spread=True), "o_orderkey")
     land.page("instances", obj(Reservations=F.array(obj(Instances=F.array(instance)))))
     return land.page("vpcs", vpc_doc).page("images", image_doc).flat()
 
@@ -160,7 +160,7 @@ def res_lambda_functions(spark: SparkSession, sf: str) -> DataFrame:
         '{"Statement": [{"Principal": {"Service": "s3.amazonaws.com"}, "Condition": {"ArnLike": {"AWS:SourceArn": "arn:aws:s3:::',
         k, '"}}}]}',
     )
-    land = Landing("lambda", table(spark, sf, "part"), "p_partkey")
+    land = Landing("lambda", table(spark, sf, "part", spread=True), "p_partkey")
     land.page("functions", obj(Functions=F.array(listed)))
     land.page("configurations", config, land.base.where(size > 40))
     land.page("policies", obj(FunctionName=name, Policy=policy), land.base.where(size <= 25))
@@ -212,7 +212,7 @@ def res_ecr(spark: SparkSession, sf: str) -> DataFrame:
     none = F.when(size < 0, lit(""))
     images = F.array(*[obj(imageTag=none if i == 1 else lit(f"v{i + 1}")) for i in range(7)])
     tags = F.array(obj(key=lit("x"), value=lit("y")), obj(key=lit("BusinessAppID"), value=F.col("p_brand")))
-    land = Landing("ecr", table(spark, sf, "part"), "p_partkey").page("repositories", obj(repositories=F.array(repo)))
+    land = Landing("ecr", table(spark, sf, "part", spread=True), "p_partkey").page("repositories", obj(repositories=F.array(repo)))
     stats = obj(repositoryName=name, repositoryStatistics=F.array(obj(repositorySizeInBytes=size * 1000)))
     small = land.base.where(size <= 25)
     land.page("statistics", stats, land.base.where(size <= 40))
@@ -241,7 +241,7 @@ def res_emr(spark: SparkSession, sf: str) -> DataFrame:
             n < 5, obj(IamInstanceProfile=cat("arn:x/p-", k), EmrManagedMasterSecurityGroup=lit("sg-1"))
         ),
     )
-    land = Landing("emr", table(spark, sf, "customer"), "c_custkey")
+    land = Landing("emr", table(spark, sf, "customer", spread=True), "c_custkey")
     land.page("clusters", obj(Clusters=F.array(obj(Id=cid, Name=F.when(n < 20, F.col("c_name"))))))
     return land.page("details", obj(Cluster=detail), land.base.where(n < 15)).flat()
 
@@ -257,7 +257,7 @@ def network(service: str, spark: SparkSession, sf: str) -> Landing:
     def sub(i: int) -> Column:
         return cat("sn-", k, f"-{i}")
 
-    land = Landing(service, table(spark, sf, "customer"), "c_custkey")
+    land = Landing(service, table(spark, sf, "customer", spread=True), "c_custkey")
 
     def page(name: str, doc: Column) -> None:
         if name in land.spec.raw:
@@ -387,7 +387,7 @@ def res_route53(spark: SparkSession, sf: str) -> DataFrame:
         record(lit("alias"), "CNAME", False, None, cat("lb-", n)),
         record(lit("none"), "TXT", False, None, None),
     )
-    land = Landing("route53", table(spark, sf, "customer"), "c_custkey")
+    land = Landing("route53", table(spark, sf, "customer", spread=True), "c_custkey")
     land.page("zones", obj(HostedZones=F.array(obj(Id=cat("/hostedzone/Z", k), Name=cat("zone", k, ".")))))
     return land.page("records", obj(HostedZoneId=cat("Z", k), ResourceRecordSets=records)).flat()
 
@@ -418,7 +418,7 @@ def res_cloudfront(spark: SparkSession, sf: str) -> DataFrame:
     full = obj(
         Id=cid, DomainName=domain, Status=lit("Deployed"), LastModifiedTime=lit("2024-01-02T03:04:05"), DistributionConfig=config
     )
-    land = Landing("cloudfront", table(spark, sf, "customer"), "c_custkey")
+    land = Landing("cloudfront", table(spark, sf, "customer", spread=True), "c_custkey")
     summary = obj(Id=cid, DomainName=domain, Status=lit("InProgress"))
     land.page("distributions", obj(DistributionList=obj(Items=F.array(summary))))
     detail = obj(Distribution=full, Tags=obj(Items=F.array(tag("Name", F.col("c_name")))))
@@ -447,7 +447,7 @@ def res_apigateway(spark: SparkSession, sf: str) -> DataFrame:
         ProtocolType=F.when(st == "O", lit("WEBSOCKET")).when(st == "F", lit("")), ApiEndpoint=cat("https://", k),
         CreatedDate=F.when(st != "F", cat(created, "+00:00")),
     )
-    land = Landing("apigateway", table(spark, sf, "orders"), "o_orderkey")
+    land = Landing("apigateway", table(spark, sf, "orders", spread=True), "o_orderkey")
     return land.page("rest_apis", obj(items=F.array(rest))).page("apis", obj(Items=F.array(http))).flat()
 
 
@@ -490,7 +490,7 @@ def res_rds(spark: SparkSession, sf: str) -> DataFrame:
         DBSubnetGroup=F.when(n >= 8, obj(DBSubnetGroupName=cat("g", k))),
         ReadReplicaDBInstanceIdentifiers=F.when(n > 20, F.array(lit("r"))).when(n > 15, F.expr("cast(array() as array<string>)")),
     )
-    land = Landing("rds", table(spark, sf, "customer"), "c_custkey").page("instances", obj(DBInstances=F.array(db)))
+    land = Landing("rds", table(spark, sf, "customer", spread=True), "c_custkey").page("instances", obj(DBInstances=F.array(db)))
     groups = obj(DBSubnetGroups=F.array(obj(DBSubnetGroupName=cat("g", k), VpcId=cat("vpc-", k))))
     return land.page("subnet_groups", groups, land.base.where(n >= 10)).flat()
 
@@ -543,7 +543,7 @@ def res_s3(spark: SparkSession, sf: str) -> DataFrame:
         ReplicationConfiguration=F.when(size > 25, obj(Role=lit("r"))),
         ServerSideEncryptionConfiguration=F.when(size > 40, obj(Rules=F.array(lit("r")))),
     )
-    land = Landing("s3", table(spark, sf, "part"), "p_partkey").page("buckets", obj(Buckets=F.array(obj(Name=name))))
+    land = Landing("s3", table(spark, sf, "part", spread=True), "p_partkey").page("buckets", obj(Buckets=F.array(obj(Name=name))))
     land.page("details", detail)
     points = F.array(
         *[
@@ -584,7 +584,7 @@ def res_glue(spark: SparkSession, sf: str) -> DataFrame:
         CreatedOn=F.when(size > 40, lit("2024-01-02T03:04:05+02:00")).when(size > 25, lit("2024-01-02T03:04:05")),
         GlueVersion=F.when(size > 25, lit("4.0")),
     )
-    return Landing("glue", table(spark, sf, "part"), "p_partkey").page("jobs", obj(Jobs=F.array(job))).flat()
+    return Landing("glue", table(spark, sf, "part", spread=True), "p_partkey").page("jobs", obj(Jobs=F.array(job))).flat()
 
 
 def execution(detail_id: Column) -> Column:
@@ -613,7 +613,7 @@ _Q = """CASE event_type WHEN 'view' THEN 'N/A' ELSE 'db' || user_id END"""
 )
 def res_athena(spark: SparkSession, sf: str) -> DataFrame:
     doc = obj(QueryExecution=execution(cat("query", F.col("event_id"))))
-    return Landing("athena", table(spark, sf, "events"), "event_id").page("executions", doc).flat()
+    return Landing("athena", table(spark, sf, "events", spread=True), "event_id").page("executions", doc).flat()
 
 
 @check(
@@ -631,7 +631,7 @@ def res_athena(spark: SparkSession, sf: str) -> DataFrame:
 def res_tax(spark: SparkSession, sf: str) -> DataFrame:
     """Listed ids with details; failed lookups (errors) keep the defaults."""
     qid = cat("query", F.col("event_id"))
-    land = Landing("tax", table(spark, sf, "events"), "event_id")
+    land = Landing("tax", table(spark, sf, "events", spread=True), "event_id")
     at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     land.page("listed", obj(QueryExecutions=F.array(obj(QueryExecutionId=qid, SubmissionDateTime=at))))
     return land.page("executions", obj(QueryExecution=execution(qid)), land.base.where(F.col("event_type") != "error")).flat()
@@ -656,7 +656,7 @@ def res_cloudformation(spark: SparkSession, sf: str) -> DataFrame:
         Description=F.when(st == "O", lit("")).otherwise(pr),
         Capabilities=F.when(st == "O", F.array(lit("CAP_A"), lit("CAP_B"))).when(st == "F", F.expr("cast(array() as array<string>)")),
     )
-    return Landing("cloudformation", table(spark, sf, "orders"), "o_orderkey").page("stacks", obj(Stacks=F.array(stack))).flat()
+    return Landing("cloudformation", table(spark, sf, "orders", spread=True), "o_orderkey").page("stacks", obj(Stacks=F.array(stack))).flat()
 
 
 @check(
@@ -696,8 +696,8 @@ def res_ssm(spark: SparkSession, sf: str) -> DataFrame:
         Id=cat("as-", F.col("l_orderkey")),
         Status=F.when(F.col("l_returnflag") == "N", lit("COMPLIANT")).when(F.col("l_returnflag") == "R", lit("NON_COMPLIANT")),
     )
-    land = Landing("ssm", table(spark, sf, "orders"), "o_orderkey").page("associations", obj(Associations=F.array(assoc)))
-    return land.page("compliance", obj(ComplianceItems=F.array(item)), table(spark, sf, "lineitem"), "l_orderkey").flat()
+    land = Landing("ssm", table(spark, sf, "orders", spread=True), "o_orderkey").page("associations", obj(Associations=F.array(assoc)))
+    return land.page("compliance", obj(ComplianceItems=F.array(item)), table(spark, sf, "lineitem", spread=True), "l_orderkey").flat()
 
 
 @check(
@@ -712,7 +712,7 @@ def res_stepfunctions(spark: SparkSession, sf: str) -> DataFrame:
     k, n = F.col("c_custkey"), F.col("c_nationkey")
     arn = cat("arn:aws:states:r:1:stateMachine:sm", k)
     machine = obj(stateMachineArn=arn, name=F.col("c_name"), definition=F.when(n >= 10, F.col("c_mktsegment")))
-    land = Landing("stepfunctions", table(spark, sf, "customer"), "c_custkey")
+    land = Landing("stepfunctions", table(spark, sf, "customer", spread=True), "c_custkey")
     land.page("state_machines", obj(stateMachines=F.array(machine)))
     land.page("details", obj(stateMachineArn=arn, roleArn=cat("arn:aws:iam::1:role/role", n)), land.base.where(n >= 5))
     versions = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: F.struct(i.cast("string").alias("stateMachineVersionArn")))
@@ -741,7 +741,7 @@ def res_delivery(spark: SparkSession, sf: str) -> DataFrame:
     full = obj(status=F.col("c_mktsegment"), startTime=lit("2024-01-02T03:04:05.678+01:00"), sourceRevisions=revisions)
     bare = obj(status=none, startTime=none, sourceRevisions=F.when(k < 0, revisions))
     runs = F.when(n < 10, F.slice(F.array(full), 1, 0)).when(n < 20, F.array(*[full] * 7)).otherwise(F.array(bare))
-    land = Landing("codepipeline", table(spark, sf, "customer"), "c_custkey").page("listed", obj(pipelines=F.array(obj(name=name))))
+    land = Landing("codepipeline", table(spark, sf, "customer", spread=True), "c_custkey").page("listed", obj(pipelines=F.array(obj(name=name))))
     return land.page("executions", obj(pipelineName=name, pipelineExecutionSummaries=runs), land.base.where(n >= 5)).flat()
 
 
@@ -761,7 +761,7 @@ def res_codebuild(spark: SparkSession, sf: str) -> DataFrame:
         description=F.when(size > 25, F.col("p_name")),
         lastModified=F.when(size > 40, lit("2024-01-02T03:04:05+01:00")).when(size > 25, lit("yesterday")),
     )
-    land = Landing("codebuild", table(spark, sf, "part"), "p_partkey").page("listed", obj(projects=F.array(name)))
+    land = Landing("codebuild", table(spark, sf, "part", spread=True), "p_partkey").page("listed", obj(projects=F.array(name)))
     return land.page("projects", obj(projects=F.array(project)), land.base.where(size > 3)).flat()
 
 
@@ -791,7 +791,7 @@ def res_kms(spark: SparkSession, sf: str) -> DataFrame:
         KeyId=kid, KeyManager=F.when(n < 20, lit("CUSTOMER")).otherwise(lit("AWS")), KeyState=F.when(n >= 5, lit("Enabled")),
         KeySpec=F.when(n >= 15, lit("RSA_2048")),
     )
-    land = Landing("kms", table(spark, sf, "customer"), "c_custkey").page("keys", obj(KeyMetadata=meta))
+    land = Landing("kms", table(spark, sf, "customer", spread=True), "c_custkey").page("keys", obj(KeyMetadata=meta))
     few = land.base.where(n < 10)
     land.page("aliases", obj(KeyId=kid, Aliases=F.array(obj(AliasName=cat("alias/a", k)), obj(AliasName=lit("alias/b")))), few)
     return land.page("tags", obj(KeyId=kid, Tags=F.array(obj(TagKey=lit("seg"), TagValue=F.col("c_mktsegment")))), few).flat()

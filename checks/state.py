@@ -516,7 +516,7 @@ def history_append(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs append; repeating the second run does not duplicate it."""
     store = StateStore(spark, session.scratch(spark, "history"))
     compared = upsert.compare(OWNED, order_snapshot(spark, sf), order_state(spark, sf), run_ts())
-    cells = upsert.significant(upsert.changed_cells(OWNED, compared))
+    cells = upsert.significant(upsert.changed_cells(OWNED, store.write(OWNED, compared, "run1")))
     rows = upsert.history_rows(cells.withColumn("changed_by", F.lit("unknown")))
     for run in ("run1", "run2", "run2"):
         store.append_history(rows, run)

@@ -9,7 +9,7 @@ log is therefore spread over its slices.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inventrace.functions.dates import epoch_micros
@@ -64,34 +64,36 @@ def nearest_event(
     to the earlier event, then to the smaller id.
     """
     span = slice_s * 1_000_000
-    ev = (
-        events.select(*key, epoch_micros(F.col("event_time")).alias("_t"), "event_time", "event_id", "user_name")
-        .groupBy(*key, "_t")
-        .agg(F.min(F.struct("event_time", "event_id", "user_name")).alias("_ev"))
+    none = "cast(null as struct<event_time: timestamp_ntz, event_id: string, user_name: string>)"
+    moments = events.select(
+        *key,
+        epoch_micros(F.col("event_time")).alias("_t"),
+        F.struct("event_time", F.col("event_id").cast("string").alias("event_id"), "user_name").alias("_ev"),
+        F.lit(None).cast("timestamp_ntz").alias(anchor),
+    ).unionByName(
+        probes.where(F.col(anchor).isNotNull()).select(
+            *key, epoch_micros(F.col(anchor)).alias("_t"), F.expr(none).alias("_ev"), anchor
+        )
     )
-    pr = probes.where(F.col(anchor).isNotNull()).select(*key, anchor).distinct()
-    pr = pr.withColumn("_t", epoch_micros(F.col(anchor)))
-    rows = ev.select(*key, "_t", "_ev", F.lit(None).cast(pr.schema[anchor].dataType).alias(anchor)).unionByName(
-        pr.select(*key, "_t", F.lit(None).cast(ev.schema["_ev"].dataType).alias("_ev"), anchor)
+    # One row per key and moment: repeated events and repeated probes collapse before they are shuffled.
+    rows = (
+        moments.withColumn("_slice", F.floor(F.col("_t") / F.lit(span)))
+        .groupBy(*key, "_slice", "_t")
+        .agg(F.min("_ev").alias("_ev"), F.max(anchor).alias(anchor))
     )
-    rows = rows.withColumn("_slice", F.floor(F.col("_t") / F.lit(span)))
 
-    # Within a slice: last event at or before, first event at or after. LAG/LEAD IGNORE NULLS stay linear.
+    # Within a slice: the events before and after. LAG/LEAD IGNORE NULLS stay linear.
     keys = ", ".join(f"`{k}`" for k in key)
-    inside = f"PARTITION BY {keys}, _slice ORDER BY _t, (_ev IS NULL)"
-    scanned = rows.select(
+    inside = f"PARTITION BY {keys}, _slice ORDER BY _t"
+    here = rows.select(
         "*",
         F.expr(f"lag(_ev) IGNORE NULLS OVER ({inside})").alias("_prev"),
         F.expr(f"lead(_ev) IGNORE NULLS OVER ({inside})").alias("_next"),
-    )
-    here = scanned.where(F.col("_ev").isNull())
+    ).where(F.col(anchor).isNotNull())
 
     # Across slices: only their first and last events travel.
-    by_time = "struct(_t, _ev)"
     slices = rows.groupBy(*key, "_slice").agg(
-        F.expr(f"min({by_time}) FILTER (WHERE _ev IS NOT NULL)")["_ev"].alias("_first"),
-        F.expr(f"max({by_time}) FILTER (WHERE _ev IS NOT NULL)")["_ev"].alias("_last"),
-        F.count_if(F.col("_ev").isNull()).alias("_probes"),
+        F.min("_ev").alias("_first"), F.max("_ev").alias("_last"), F.count(anchor).alias("_probes")
     )
     across = f"PARTITION BY {keys} ORDER BY _slice"
     borders = slices.select(
@@ -100,7 +102,7 @@ def nearest_event(
         "_probes",
         F.expr(f"lag(_last) IGNORE NULLS OVER ({across})").alias("_before"),
         F.expr(f"lead(_first) IGNORE NULLS OVER ({across})").alias("_after"),
-    ).where(F.col("_probes") > 0)
+    ).where((F.col("_probes") > 0) & (F.col("_before").isNotNull() | F.col("_after").isNotNull()))
 
     both = here.join(borders.drop("_probes"), [*key, "_slice"], "left")
     limit = F.lit(window_s * 1_000_000)
@@ -110,11 +112,11 @@ def nearest_event(
         rank = F.struct(gap.alias("gap"), ev["event_time"].alias("event_time"), ev["event_id"].alias("event_id"))
         return F.when(gap < limit, F.struct(rank.alias("rank"), ev["user_name"].alias("user_name")))
 
-    candidates = [
+    best = F.least(
+        ranked(F.col("_ev")),
         ranked(F.coalesce(F.col("_prev"), F.col("_before"))),
         ranked(F.coalesce(F.col("_next"), F.col("_after"))),
-    ]
-    best = F.least(*candidates)
+    )
     return both.select(*key, anchor, best.alias("_best")).where(F.col("_best").isNotNull())
 
 
@@ -195,10 +197,11 @@ def _by_column(
     named = explainable.select(
         F.col("resource_name").alias("resource_id"), "event_name", "event_time", "event_id", "user_name"
     )
-    wanted = cells.select("_type", "_field", "resource_id", anchor).distinct().join(dims, ["_type", "_field"])
+    # Probe each event name that explains the field; a found event then serves every field it explains.
+    wanted = cells.select("_type", "_field", "resource_id", anchor).join(dims, ["_type", "_field"])
     found = nearest_event(wanted, named, ["resource_id", "event_name"], anchor, window_s)
     related = (
-        wanted.join(found, ["resource_id", "event_name", anchor])
+        found.join(dims, "event_name")
         .groupBy("_type", "_field", "resource_id", anchor)
         .agg(F.min("_best")["user_name"].alias("_related"))
     )

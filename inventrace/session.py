@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Call-site capture costs more than building the plan itself for wide projections.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -41,3 +43,13 @@ def scratch(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="inventrace-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of few files to all cores; a scan with enough partitions stays as it is.
+
+    Meant for input feeding expensive row-wise work (JSON). On a large table the scan has far more
+    partitions than there are cores and no shuffle is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
