@@ -300,7 +300,7 @@ def audit_events(spark: SparkSession, sf: str, kind: str = "USER") -> DataFrame:
 
 
 def mapping(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FIELDS, "service_type string, field_name string, event_name string")
+    return session.fixed_rows(spark, FIELDS, "service_type, field_name, event_name")
 
 
 def probes(spark: SparkSession, sf: str) -> DataFrame:

@@ -41,5 +41,5 @@ def micros_between(a: Column, b: Column) -> Column:
 
 
 def epoch_micros(ts: Column) -> Column:
-    """Microseconds since 1970 of a TIMESTAMP_NTZ, independent of the session time zone."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    """Microseconds since 1970 of a TIMESTAMP_NTZ. The session time zone is UTC, so no shift takes place."""
+    return F.unix_micros(ts.cast("timestamp"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inventrace.functions.dates import epoch_micros
+from inventrace.session import fixed_rows
 from inventrace.specs.audit_values import field_events
 
 WINDOW_SECONDS = 86_400
@@ -23,7 +24,7 @@ UNKNOWN = "unknown"
 def field_map(spark: SparkSession, extra: list[tuple[str, str, str]] | None = None) -> DataFrame:
     """(service_type, field_name, event_name): which events can explain a field. Fixed size."""
     rows = field_events() + list(extra or [])
-    return spark.createDataFrame(rows, "service_type string, field_name string, event_name string")
+    return fixed_rows(spark, rows, "service_type, field_name, event_name")
 
 
 def _event_columns(events: DataFrame) -> DataFrame:
@@ -60,15 +61,16 @@ def nearest_event(
     """Two-sided as-of join: for each distinct (key, anchor) the nearest event strictly inside the window.
 
     ``events`` needs the key, ``event_time``, ``event_id`` and ``user_name``. Returns key, anchor and
-    ``_best`` (rank{gap, event_time, event_id}, user_name) for the probes that have one. Equal gaps go
+    ``_best`` (rank{gap, at, event_id}, user_name) for the probes that have one. Equal gaps go
     to the earlier event, then to the smaller id.
     """
     span = slice_s * 1_000_000
-    none = "cast(null as struct<event_time: timestamp_ntz, event_id: string, user_name: string>)"
+    none = "cast(null as struct<at: bigint, event_id: string, user_name: string>)"
+    at = epoch_micros(F.col("event_time"))
     moments = events.select(
         *key,
-        epoch_micros(F.col("event_time")).alias("_t"),
-        F.struct("event_time", F.col("event_id").cast("string").alias("event_id"), "user_name").alias("_ev"),
+        at.alias("_t"),
+        F.struct(at.alias("at"), F.col("event_id").cast("string").alias("event_id"), "user_name").alias("_ev"),
         F.lit(None).cast("timestamp_ntz").alias(anchor),
     ).unionByName(
         probes.where(F.col(anchor).isNotNull()).select(
@@ -77,7 +79,7 @@ def nearest_event(
     )
     # One row per key and moment: repeated events and repeated probes collapse before they are shuffled.
     rows = (
-        moments.withColumn("_slice", F.floor(F.col("_t") / F.lit(span)))
+        moments.withColumn("_slice", F.call_function("div", F.col("_t"), F.lit(span)))
         .groupBy(*key, "_slice", "_t")
         .agg(F.min("_ev").alias("_ev"), F.max(anchor).alias(anchor))
     )
@@ -108,8 +110,8 @@ def nearest_event(
     limit = F.lit(window_s * 1_000_000)
 
     def ranked(ev: Column) -> Column:
-        gap = F.abs(epoch_micros(ev["event_time"]) - F.col("_t"))
-        rank = F.struct(gap.alias("gap"), ev["event_time"].alias("event_time"), ev["event_id"].alias("event_id"))
+        gap = F.abs(ev["at"] - F.col("_t"))
+        rank = F.struct(gap.alias("gap"), ev["at"].alias("at"), ev["event_id"].alias("event_id"))
         return F.when(gap < limit, F.struct(rank.alias("rank"), ev["user_name"].alias("user_name")))
 
     best = F.least(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inventrace.functions import audit
+from inventrace.session import fixed_rows
 from inventrace.sources.landed import path_exists
 from inventrace.specs.audit_values import EVENT_SOURCES, kept_event_names
 
@@ -44,7 +45,7 @@ def important(
 
 
 def name_list(spark: SparkSession, names: list[str]) -> DataFrame:
-    return spark.createDataFrame([(n,) for n in names], "name string")
+    return fixed_rows(spark, [(n,) for n in names], "name")
 
 
 def typed_events(parsed: DataFrame) -> DataFrame:

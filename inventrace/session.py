@@ -45,6 +45,16 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def fixed_rows(spark: SparkSession, rows: list[tuple[str, ...]], columns: str) -> DataFrame:
+    """A small constant relation of strings, known to the optimizer without running a job."""
+
+    def quoted(v: str) -> str:
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    values = ", ".join("(" + ", ".join(quoted(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({columns})")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan of few files to all cores; a scan with enough partitions stays as it is.
 
