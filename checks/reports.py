@@ -395,4 +395,4 @@ def errors_by_account(spark: SparkSession, sf: str) -> DataFrame:
         .distinct()
     )
     lists = report.errors_by_account(errors).select("account_id", F.array_join("errors", "; ").alias("errors"))
-    return lists.crossJoin(F.broadcast(report.unreachable(errors)))
+    return lists.withColumn("unreachable_accounts", report.unreachable(errors).scalar())

@@ -1,10 +1,10 @@
 """Cloud-inventory change tracking on Spark: snapshots and audit events in, state and history out."""
 
 from inventrace.operators.attribution import field_map
-from inventrace.operators.report import coverage, run_summary
+from inventrace.operators.report import coverage, run_summary, work_grid
 from inventrace.operators.upsert import compare, significant
 from inventrace.plans.audit_log import events_from_pages as ingest_audit
-from inventrace.plans.sync import Sync, attribute, diff, flatten, upsert_frames
+from inventrace.plans.sync import Sync, attribute, diff, flatten, upsert
 from inventrace.specs.registry import SPECS, select_services
 
 __all__ = [
@@ -20,5 +20,6 @@ __all__ = [
     "run_summary",
     "select_services",
     "significant",
-    "upsert_frames",
+    "upsert",
+    "work_grid",
 ]

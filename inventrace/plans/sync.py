@@ -9,7 +9,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inventrace.operators import attribution, report, upsert
+from inventrace.operators import attribution, report
+from inventrace.operators import upsert as merging
 from inventrace.plans import audit_log
 from inventrace.sources.landed import read_dataset, read_raw, split_invalid
 from inventrace.sources.state import StateStore
@@ -25,7 +26,7 @@ def flatten(spec: ResourceSpec, raw: Raw) -> DataFrame:
 
 def diff(spec: ResourceSpec, snapshot: DataFrame, state: DataFrame, run_ts: Column) -> DataFrame:
     """Every differing cell of matched rows, significant or not."""
-    return upsert.changed_cells(spec, upsert.compare(spec, snapshot, state, run_ts))
+    return merging.changed_cells(spec, merging.compare(spec, snapshot, state, run_ts))
 
 
 def attribute(
@@ -49,9 +50,30 @@ def upsert_frames(
     anchor: Column | str,
 ) -> Result:
     """State, history and counters, all from one compared frame."""
-    cells = upsert.significant(upsert.changed_cells(spec, compared))
-    changes = upsert.history_rows(attribute(spec, cells, events, mapping, anchor))
-    return Result(upsert.new_state(spec, compared), changes, upsert.counters(spec, compared))
+    cells = merging.significant(merging.changed_cells(spec, compared))
+    changes = merging.history_rows(attribute(spec, cells, events, mapping, anchor))
+    return Result(merging.new_state(spec, compared), changes, merging.counters(spec, compared))
+
+
+def upsert(
+    spec: ResourceSpec,
+    snapshot: DataFrame,
+    state: DataFrame,
+    run_ts: Column,
+    events: DataFrame | None = None,
+    mapping: DataFrame | None = None,
+    anchor: Column | str | None = None,
+) -> Result:
+    """New state, attributed history and counters of one snapshot, as lazy frames.
+
+    Each frame repeats the comparison when it is used; :class:`Sync` writes it once instead.
+    ``anchor`` is the time changes are attributed around, the run time by default.
+    """
+    spark = snapshot.sparkSession
+    events = events if events is not None else spark.createDataFrame([], audit_log.EVENT_COLUMNS)
+    mapping = mapping if mapping is not None else attribution.field_map(spark)
+    compared = merging.compare(spec, snapshot, state, run_ts)
+    return upsert_frames(spec, compared, events, mapping, run_ts if anchor is None else anchor)
 
 
 class Sync:
@@ -100,7 +122,7 @@ class Sync:
         """
         raw = raw if raw is not None else read_raw(self.spark, self.landing, spec, self.run_date)
         snapshot = flatten(spec, raw)
-        compared = upsert.compare(spec, snapshot, self.store.read(spec, before=self.run_id), self.run_ts)
+        compared = merging.compare(spec, snapshot, self.store.read(spec, before=self.run_id), self.run_ts)
         written = self.store.write(spec, compared, self.run_id)
         result = upsert_frames(spec, written, self.events_for(spec), self.mapping, self.run_ts)
         self.store.append_history(result.changes, self.run_id)

@@ -57,6 +57,14 @@ class StateStore:
         compared.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(compared.schema).parquet(path)
 
+    def expire(self, spec: ResourceSpec, keep: int = 2) -> list[str]:
+        """Delete committed versions older than the newest ``keep``; returns what was deleted."""
+        old = self.versions(spec.table)[: -max(keep, 1)]
+        for version in old:
+            target, fs = _fs(self.spark, self.version_path(spec.table, version))
+            fs.delete(target, True)
+        return old
+
     def append_history(self, rows: DataFrame, run_id: str) -> None:
         (
             rows.withColumn("run_id", F.lit(run_id))

@@ -100,7 +100,6 @@ def test_two_runs(spark, landing, tmp_path):
 
 
 def test_unchanged_snapshot_is_idempotent(spark, landing, tmp_path):
-    services = [s for s in SPECS if s not in ("vpc", "subnets")]
     store = str(tmp_path / "store")
     Sync(spark, str(landing), store, DAY1).run(["s3", "glue", "kms", "eks", "ssm"]).collect()
     later = Sync(spark, str(landing), store, datetime(2024, 1, 15, 18))
@@ -108,7 +107,8 @@ def test_unchanged_snapshot_is_idempotent(spark, landing, tmp_path):
         assert (r.inserted, r.updated, r.status) == (0, 0, "0 cambios")
         assert r.matched == r.processed > 0
     assert later.store.history().count() == 0
-    assert services
+    assert later.store.expire(SPECS["s3"], keep=1) == ["20240115T120000"]
+    assert later.store.versions("s3") == ["20240115T180000"] and later.store.read(SPECS["s3"]).count() == 1
 
 
 def test_service_selection():

@@ -57,3 +57,12 @@ def test_null_replaces_a_value_and_reordered_list_keeps_the_old_text(spark):
     assert (cell.field_name, cell.old_value, cell.new_value) == ("keyname", "v", None)
     history = upsert.history_rows(upsert.changed_cells(ec2, compared).withColumn("changed_by", F.lit("u"))).first()
     assert history.new_value == "None"
+
+
+def test_upsert_api_without_events(spark):
+    from inventrace import upsert as api
+
+    result = api(ORDERS, order_snapshot(spark, SF), order_state(spark, SF), run_ts())
+    assert {r[0] for r in result.changes.select("changed_by").distinct().collect()} == {"unknown"}
+    assert result.metrics.first().processed == order_state(spark, SF).count()
+    assert result.state.count() > order_state(spark, SF).count()
