@@ -7,7 +7,7 @@ and counters cannot disagree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inventrace.functions.canon import py_text
@@ -97,13 +97,29 @@ def compare(
     changes = F.array_compact(F.array(*cells)) if cells else F.expr(
         "cast(array() as array<struct<field_name:string,old_value:string,new_value:string>>)"
     )
-    return flagged.select(
+    out = flagged.select(
         *[merged(c) for c in names],
         F.when(has_new, run_ts).otherwise(F.col("o_last_updated")).alias("last_updated"),
         action.alias("_action"),
         F.coalesce(F.col("_copies"), F.lit(0)).alias("_copies"),
         changes.alias("_changes"),
     )
+    return ignore_conflicts(out, list(spec.conflict_key)) if spec.conflict_key else out
+
+
+def ignore_conflicts(compared: DataFrame, conflict: list[str]) -> DataFrame:
+    """Drop inserts whose conflict key is stored already, or is inserted by an earlier account.
+
+    The kept row takes over the snapshot counts of the ignored ones, so ``processed`` stays complete.
+    """
+    is_insert = F.col("_action") == "insert"
+    order = Window.partitionBy(*conflict).orderBy(is_insert, "account_id")
+    ranked = compared.withColumns({"_first": F.row_number().over(order) == 1, "_insert": is_insert})
+    ignored = F.col("_insert") & ~F.col("_first")
+    extra = F.sum(F.when(ignored, F.col("_copies")).otherwise(F.lit(0))).over(Window.partitionBy(*conflict))
+    counted = F.col("_copies") + F.when(F.col("_first"), extra).otherwise(F.lit(0))
+    kept = ranked.withColumns({"_copies": counted, "_ignored": ignored}).where(~F.col("_ignored"))
+    return kept.select(*compared.columns)
 
 
 def new_state(spec: ResourceSpec, compared: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ class ResourceSpec:
     ``compact_names`` history field names have no underscores (``instance_name`` -> ``instancename``)
     ``history_names`` exceptions to that rule
     ``fixed_region``  region written to history where the table has none
+    ``conflict_key``  columns that alone decide whether an insert is ignored (narrower than the match key)
     ``latest_lookup`` attribute to the latest event first, without a time bound
     """
 
@@ -39,6 +40,7 @@ class ResourceSpec:
     compact_names: bool = False
     history_names: Mapping[str, str] = field(default_factory=dict)
     fixed_region: str | None = None
+    conflict_key: tuple[str, ...] = ()
     latest_lookup: bool = False
     optional_raw: tuple[str, ...] = ()
 

@@ -243,6 +243,7 @@ ROUTE53 = ResourceSpec(
         "hosted_zone string, account_name string, account_id string"
     ),
     key=("record_id", "account_id"),
+    conflict_key=("record_id",),
     resource_id="record_id",
     uncompared=("account_name",),
     fixed_region="us-east-1",

@@ -66,3 +66,23 @@ def test_upsert_api_without_events(spark):
     assert {r[0] for r in result.changes.select("changed_by").distinct().collect()} == {"unknown"}
     assert result.metrics.first().processed == order_state(spark, SF).count()
     assert result.state.count() > order_state(spark, SF).count()
+
+
+def test_record_id_conflict_ignores_other_accounts(spark):
+    from inventrace.specs.registry import SPECS
+
+    dns = SPECS["route53"]
+
+    def rows(*pairs):
+        return spark.createDataFrame(
+            [({c: "v" for c in dns.column_names} | {"record_id": r, "account_id": a, "ttl": t}) for r, a, t in pairs],
+            dns.columns,
+        )
+
+    state = rows(("r1", "b", "60")).withColumn("last_updated", F.lit("2024-01-01").cast("timestamp_ntz"))
+    snapshot = rows(("r1", "a", "1"), ("r1", "b", "2"), ("r2", "d", "3"), ("r2", "c", "4"))
+    compared = upsert.compare(dns, snapshot, state, run_ts())
+    got = {(r.record_id, r.account_id): (r.ttl, r._action) for r in compared.collect()}
+    assert got == {("r1", "b"): ("2", "update"), ("r2", "c"): ("4", "insert")}
+    row = upsert.counters(dns, compared).first()
+    assert (row.processed, row.inserted, row.updated) == (4, 1, 1)
