@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from inventrace.operators import attribution, report
 from inventrace.operators import upsert as merging
 from inventrace.plans import audit_log
-from inventrace.sources.landed import read_dataset, read_raw, split_invalid
+from inventrace.session import size_shuffles
+from inventrace.sources.landed import bytes_at, read_dataset, read_raw, split_invalid
 from inventrace.sources.state import StateStore
 from inventrace.specs.model import Raw, ResourceSpec
 from inventrace.specs.registry import AUDIT, SPECS, select_services
@@ -95,6 +96,7 @@ class Sync:
 
     def ingest_audit(self) -> DataFrame:
         """Load landed audit pages of the run; returns the run's counters."""
+        size_shuffles(self.spark, bytes_at(self.spark, f"{self.landing}/{AUDIT}/events/dt={self.run_date}"))
         pages = read_dataset(self.spark, f"{self.landing}/{AUDIT}/events", audit_log.RAW_DOC, self.run_date)
         incoming = audit_log.events_from_pages(pages, self.run_ts)
         audit_log.append_events(self.spark, incoming, self.events_path, self.run_ts)
@@ -114,12 +116,20 @@ class Sync:
         day_before = F.lit((self.run_time - timedelta(days=1)).strftime("%Y-%m-%d")).cast("timestamp_ntz")
         return audit_log.read_events(self.spark, self.events_path, day_before)
 
+    def input_bytes(self, spec: ResourceSpec) -> int:
+        """Landed text of the run plus stored columns, which are about four times larger in memory."""
+        landed = bytes_at(self.spark, f"{self.landing}/{spec.service}/*/dt={self.run_date}")
+        earlier = [v for v in self.store.versions(spec.table) if v < self.run_id]
+        stored = bytes_at(self.spark, self.store.version_path(spec.table, earlier[-1])) if earlier else 0
+        return landed + 4 * stored
+
     def sync_resource(self, spec: ResourceSpec, raw: Raw | None = None) -> DataFrame:
         """Merge one resource and append its history; returns its counters.
 
         The compared frame is written once, as the new state version with its control columns.
         History and counters read that table, so the join runs once and survives lost executors.
         """
+        size_shuffles(self.spark, self.input_bytes(spec))
         raw = raw if raw is not None else read_raw(self.spark, self.landing, spec, self.run_date)
         snapshot = flatten(spec, raw)
         compared = merging.compare(spec, snapshot, self.store.read(spec, before=self.run_id), self.run_ts)

@@ -45,6 +45,23 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+PARTITION_BYTES = 128 * 1024 * 1024
+#: Beyond this many, tracking the blocks costs more than larger, spilling partitions (1 GB each at 100 TB).
+MAX_PARTITIONS = 100_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with partitions of about 128 MB of input; returns their number.
+
+    AQE merges partitions that turn out small but never adds any, so a fixed ``spark.sql.shuffle.partitions``
+    would give a large table partitions that do not fit in memory. The session's own number is the minimum.
+    """
+    by_size = min(-(-input_bytes // PARTITION_BYTES), MAX_PARTITIONS)
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), by_size)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return wanted
+
+
 def fixed_rows(spark: SparkSession, rows: list[tuple[str, ...]], columns: str) -> DataFrame:
     """A small constant relation of strings, known to the optimizer without running a job."""
 

@@ -38,6 +38,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def bytes_at(spark: SparkSession, pattern: str) -> int:
+    """Total size of the files below the paths that match a glob; 0 when there are none."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(target) or []
+    return sum(fs.getContentSummary(status.getPath()).getLength() for status in found)
+
+
 def parse_pages(df: DataFrame, doc: str, text: str = "doc") -> DataFrame:
     """Pages whose document is still JSON text, parsed with the dataset's schema."""
     return df.withColumn("doc", F.from_json(F.col(text), f"struct<{doc}>"))

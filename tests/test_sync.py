@@ -122,3 +122,14 @@ def test_service_selection():
 def test_merge_statement_uses_the_whole_key():
     sql = merge_statement(SPECS["lambda"], "t1", "s1")
     assert "t.function_name = s.function_name AND t.account_id = s.account_id AND t.region = s.region" in sql
+
+
+def test_shuffle_size_follows_the_input(spark, landing, tmp_path):
+    from inventrace.session import size_shuffles
+
+    sync = Sync(spark, str(landing), str(tmp_path / "empty"), DAY1)
+    assert sync.input_bytes(SPECS["ec2"]) > 0
+    assert size_shuffles(spark, 1000) == 4
+    assert size_shuffles(spark, 10**12) == 7451
+    assert size_shuffles(spark, 10**14) == 100_000
+    assert size_shuffles(spark, 0) == 4
