@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inventrace.llm import exact, rules, simhash
+from inventrace.llm import exact, lines, mixing, rules, simhash
 from inventrace.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,35 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all documents takes from each, in the order of their first training position."""
+    docs = documents(spark, sf_dir)
+    sized = docs.select("doc_id", "source", mixing.words(F.col("text")).alias("size"))
+    planned = mixing.plan(sized, size=F.col("size"))
+    taken = F.aggregate("copies", F.lit(0).cast("long"), lambda total, c: total + c.words)
+    rows = planned.select("doc.doc_id", "size", "source_size", "target", taken.alias("taken"), F.get(F.col("copies"), F.lit(0)).position.alias("at"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(n, F.col("at").asc_nulls_last(), "doc_id").sortWithinPartitions(F.col("at").asc_nulls_last(), "doc_id").drop("at")
+
+
+ORACLE_SQL["op1_mixing_sources"] = f"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_WORD}))::BIGINT AS size,
+           md5(coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, ((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight, 3.0::DOUBLE * source_size AS cap FROM s),
+l AS (SELECT *, ((SELECT sum(source_size)::DOUBLE FROM s) - coalesce(sum(cap) OVER b, 0)) / ((SELECT sum(weight) FROM w) - coalesce(sum(weight) OVER b, 0)) AS level
+      FROM w WINDOW b AS (ORDER BY cap / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, least(cap, (SELECT max(level) FROM l) * weight) AS target FROM l),
+p AS (SELECT d.*, source_size, target, round(target)::BIGINT AS goal,
+      coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS st
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       (greatest(least(size, goal - st), 0) + greatest(least(size, goal - st - source_size), 0) + greatest(least(size, goal - st - 2 * source_size), 0))::BIGINT AS taken
+FROM p
+"""
+
+
 @query
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
@@ -57,6 +86,31 @@ FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source
 """
 
 
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that occur earlier."""
+    found = lines.line_dedup(documents(spark, sf_dir))
+    return found.select("doc_id", "text", "line_dedup.n_lines", "line_dedup.removed_lines")
+
+
+ORACLE_SQL["op9_line_dedup"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+a AS (SELECT rid, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
+o AS (SELECT *, len(regexp_extract_all(line, {_WORD})) AS n, row_number() OVER (PARTITION BY rid ORDER BY pos) AS i FROM a WHERE regexp_matches(line, {_WORD})),
+x AS (SELECT *, lead(line) OVER r AS l1, lead(line, 2) OVER r AS l2, lead(n) OVER r AS n1, lead(pos) OVER r AS p1, lead(pos, 2) OVER r AS p2
+      FROM o WINDOW r AS (PARTITION BY rid ORDER BY i)),
+u AS (SELECT rid, doc_id, i, 3 AS len, [line, l1, l2] AS k, [pos, p1, p2] AS ps FROM x WHERE l2 IS NOT NULL
+      UNION ALL SELECT rid, doc_id, i, 1, [line], [pos] FROM x WHERE n >= 50
+      UNION ALL SELECT rid, doc_id, i, 2, [line, l1], [pos, p1] FROM x WHERE l1 IS NOT NULL AND n < 50 AND n1 < 50 AND n + n1 >= 50),
+f AS (SELECT *, first_value(doc_id) OVER w AS fd, first_value(i) OVER w AS fi FROM u WINDOW w AS (PARTITION BY k ORDER BY doc_id, i)),
+g AS (SELECT DISTINCT rid, unnest(ps) AS pos FROM f WHERE CASE WHEN doc_id = fd THEN i >= fi + len ELSE true END),
+k AS (SELECT rid, string_agg(line, chr(10) ORDER BY pos) AS text FROM a ANTI JOIN g USING (rid, pos) GROUP BY rid),
+c AS (SELECT rid, count(*) AS n FROM g GROUP BY rid)
+SELECT doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(c.n, 0)::BIGINT AS removed_lines
+FROM d LEFT JOIN k USING (rid) LEFT JOIN c USING (rid)
+"""
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact groups of all documents: the lower half of the id range is the sealed snapshot, the upper half arrives."""
