@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inventrace.llm import exact, lines, mixing, quality, rules, simhash
+from inventrace.llm import exact, lines, mixing, pieces, quality, rules, simhash
 from inventrace.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +102,14 @@ FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source
 """
 
 
+@query
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text and the text that they decode to."""
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = pieces.encode(documents(spark, sf_dir).select("doc_id", "text"), model).select("row.doc_id", "ids")
+    return pieces.decode(encoded, model).select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), "decoded")
+
+
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that occur earlier."""
