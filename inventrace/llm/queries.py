@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inventrace.llm import chat, exact, lines, mixing, pieces, quality, rules, simhash
+from inventrace.llm import chat, exact, lines, mixing, pieces, quality, rules, simhash, tokenfile
 from inventrace.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,14 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(extra)))
 
 
+@query
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document's ids lie in the token files, and their checksum, read from the files."""
+    with open(public_tokenizers.path("word_bpe_49k.json")) as f:
+        definition = f.read()
+    return tokenfile.round_trip(documents(spark, sf_dir), definition)
+
+
 @query
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
