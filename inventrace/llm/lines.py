@@ -81,7 +81,8 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, window: int = WI
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_LINES, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with later repeated runs cut from the text, and columns removed_lines and n_lines in struct ``line_dedup``.
+    """``docs`` with later repeated runs cut from the text, and n_lines and removed_lines in the struct ``line_dedup`` (a column of
+    that name is replaced).
 
     A run counts if it has ``window`` lines or ``min_words`` words; lines without a word are passed over and stay. Order is
     (doc_id, hash of the text, line), null ids first. A line goes if it lies in a run that also occurs earlier, in another
@@ -90,14 +91,17 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ways to its full length. The first occurrence of every line stays. Rows that repeat id and text are one document and
     get the same cuts. Null texts stay null.
     """
-    gone = repeated_lines(docs, id_col, text_col, window, min_words)
+    gone = repeated_lines(docs, id_col, text_col, window, min_words).withColumnsRenamed({"id": "i", "body": "b"})
     text = F.col(text_col).cast("string")
-    named = gone.select(F.col("id").alias("__id"), F.col("body").alias("__body"), F.col("lines").alias("__lines"))
-    on = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__body"))
-    joined = docs.join(named, on, "left")
-    lines = F.split(text, "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__lines"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
-    about = F.struct(F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("removed_lines"))
-    new = {text_col: F.when(F.col("__lines").isNull(), text).otherwise(kept)}
-    return joined.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns], about.alias("line_dedup"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("body"))
+    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("i")) & (F.col("body") == F.col("b")), "left")
+    split = F.split("text", "\n", -1)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("lines"))
+    kept = F.array_join(F.transform(stay, lambda i: F.get(split, i)), "\n")
+    about = F.struct(
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).cast("long").alias("n_lines"),
+        F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("removed_lines"),
+    )
+    new = {text_col: F.when(F.col("lines").isNull(), F.col("text")).otherwise(kept)}
+    names = [c for c in docs.columns if c != "line_dedup"]
+    return joined.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in names], about.alias("line_dedup"))

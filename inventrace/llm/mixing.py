@@ -111,16 +111,18 @@ def plan(
         F.col(source_col).cast("string").alias("source"),
         (words(F.col(text_col)) if size is None else size).alias("size"),
         key.alias("key"),
+        F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("name"),
     ).withColumn("block", F.substring("key", 1, BLOCK_DIGITS))
     blocks = stored(rows.groupBy("source", "block").agg(F.sum("size").alias("block_size")), "blocks")
     sources = blocks.groupBy("source").agg(F.sum("block_size").alias("source_size"))
     wanted = targets(sources, cycled_weights(sources) if schedule is None else schedule, share, max_repeats)
     earlier = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     placed = blocks.withColumn("offset", F.coalesce(F.sum("block_size").over(earlier), F.lit(0))).alias("p").join(wanted.alias("w"), F.col("p.source").eqNullSafe(F.col("w.source")))
-    placed = placed.select(F.col("p.source").alias("s"), F.col("block").alias("b"), "offset", "source_size", "target", "weight", "segments")
-    inside = Window.partitionBy("source", "block").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    name = F.coalesce(F.concat(F.lit("="), F.col("p.source")), F.lit(""))
+    placed = placed.select(name.alias("s"), F.col("block").alias("b"), "offset", "source_size", "target", "weight", "segments")
+    inside = Window.partitionBy("name", "block").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    rows = rows.join(placed, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
+    rows = rows.join(placed, (F.col("name") == F.col("s")) & (F.col("block") == F.col("b")))
     goal = F.round("target").cast("long")
     start = F.col("offset") + F.col("before")
 

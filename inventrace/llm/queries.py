@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inventrace.llm import chat, exact, lines, mixing, pieces, quality, rules, simhash, tokenfile
+from inventrace.llm import chat, exact, lines, mixing, pieces, quality, rules, simhash, suffix, tokenfile
 from inventrace.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,12 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(documents(spark, sf_dir), definition)
 
 
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat 50-byte strings of documents with smaller ids."""
+    return suffix.repeated_spans(documents(spark, sf_dir)).drop("removed")
+
+
 @query
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""

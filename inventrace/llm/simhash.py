@@ -49,7 +49,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of every row; null text counts as empty."""
+    """doc_id, body (a hash of the text) and fp (the fingerprint as a signed long) of every row; null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -57,10 +57,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 data, offsets = flat(part.column("text"))
                 raw = data.tobytes().translate(_FOLD)
                 found = np.array([fingerprint(raw[a:b], shingle) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("body"), pa.array(found.view(np.int64))], ["doc_id", "body", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("body"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, body long, fp long")
 
 
 def block_masks(blocks: int, agree: int) -> list[int]:
@@ -190,18 +191,31 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """doc_id, fp and component_id of every row.
+    """doc_id, body, fp, component_id and stays of every row.
 
     Fingerprints with at most ``distance`` differing bits are linked; component_id is the smallest doc_id that a
     row reaches over links, itself included. Null and wordless texts have fingerprint 0 and are linked like others.
-    A null doc_id is passed over by the minimum; a component without any other has a null component_id. Repeated rows stay.
+    A null doc_id is passed over by the minimum; a component without any other has a null component_id. ``stays`` is true for the
+    row of a component with the smallest (doc_id, body), null ids last; rows that repeat both share it.
     Other columns of ``docs`` are not read.
     """
     rows = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    texts = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")
+    texts = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.min(place).alias("first")), "distinct")
     roots = components(links(texts.select("fp"), distance))
-    placed = texts.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    placed = texts.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", "first", F.coalesce("root", "fp").alias("root"))
     placed = stored(placed, "placed")
-    low = placed.groupBy("root").agg(F.min("low").alias("component_id")).withColumnRenamed("root", "r")
-    named = placed.join(low, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
-    return rows.join(named, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
+    whole = placed.groupBy("root").agg(F.min("low").alias("component_id"), F.min("first").alias("keeper")).withColumnRenamed("root", "r")
+    named = placed.join(whole, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id", "keeper")
+    joined = rows.join(named, F.col("fp") == F.col("f"))
+    stays = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & F.col("body").eqNullSafe(F.col("keeper.body"))
+    return joined.select("doc_id", "body", "fp", "component_id", stays.alias("stays"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component: the row that ``stays``, once if it is repeated."""
+    staying = near_duplicates(docs, id_col, text_col, **options).filter("stays").select(F.col("doc_id").alias("i"), F.col("body").alias("b")).distinct()
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("body"))
+    joined = rows.join(staying, F.col("id").eqNullSafe(F.col("i")) & (F.col("body") == F.col("b")))
+    return joined.dropDuplicates(["id", "body"]).select("doc.*")
