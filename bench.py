@@ -9,6 +9,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from checks.catalog import CHECKS
@@ -48,7 +49,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = session.build(f"local[{cpus}]", int(cpus) if cpus.isdigit() else 8, "bench")
+    spark = session.build(f"local[{cpus}]", int(cpus) if cpus.isdigit() else 8, "bench", tempfile.mkdtemp(prefix="bench-"))
     spark.sparkContext.setLogLevel("ERROR")
 
     def once(name: str) -> float:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from typing import Any
 
@@ -66,7 +67,7 @@ def main() -> None:
     from inventrace import session
 
     sf_dir, names = sys.argv[1], sys.argv[2:]
-    spark = session.build("local[8]", 8, "compare")
+    spark = session.build("local[8]", 8, "compare", tempfile.mkdtemp(prefix="compare-"))
     spark.sparkContext.setLogLevel("OFF")
     con = duck(sf_dir)
     bad = 0

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +17,10 @@ SETTINGS = {
 }
 
 
-def build(master: str | None = None, shuffle_partitions: int | None = None, app: str = "inventrace") -> SparkSession:
-    """A session with the settings above. On a cluster leave both arguments unset."""
+def build(
+    master: str | None = None, shuffle_partitions: int | None = None, app: str = "inventrace", scratch_dir: str | None = None
+) -> SparkSession:
+    """A session with the settings above. On a cluster only ``scratch_dir`` may be set, to a folder that all machines share."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
@@ -27,21 +28,24 @@ def build(master: str | None = None, shuffle_partitions: int | None = None, app:
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if scratch_dir:
+        builder = builder.config("spark.checkpoint.dir", scratch_dir)
     return builder.getOrCreate()
 
 
+def scratch_base(spark: SparkSession) -> str | None:
+    """The shared folder that the session names, if it names one."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new path below the cluster's shared checkpoint folder.
+    """A new path below the shared folder of ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session. Only where it is unset, as in local tests, a
-    temporary folder of this machine takes its place.
+    There is no default: on a cluster each machine would write to its own disk, and reads would miss rows.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    base = scratch_base(spark)
     if not base:
-        base = tempfile.mkdtemp(prefix="inventrace-")
-        spark.sparkContext.setCheckpointDir(base)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
