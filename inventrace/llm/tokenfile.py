@@ -89,6 +89,19 @@ def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return ((left * 0x9E3779B1 + right * 0x85EBCA77) & 0xFFFFF).astype(np.int32)
 
 
+def _apart(where: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which of the pairs at ascending places to replace: of pairs that overlap the better one, in a run of one pair each second."""
+    n = len(where)
+    touch = np.zeros(n + 1, bool)
+    touch[1:n] = where[1:] == where[:-1] + 1
+    left, right = np.append(rank[:1], rank[:-1]), np.append(rank[1:], rank[-1:])
+    again = touch[:n] & (left == rank)
+    index = np.arange(n)
+    begin = np.maximum.accumulate(np.where(again, 0, index))
+    even = (index - begin) % 2 == 0
+    return np.flatnonzero(even & (again | ~touch[:n] | (rank < left)) & (~touch[1:] | (rank <= right)))
+
+
 def repair(ids: np.ndarray, heads: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, heads, rules): pairs replaced by nonterminals base, base + 1, ... whose rules are pairs of earlier symbols.
 
@@ -116,11 +129,10 @@ def repair(ids: np.ndarray, heads: np.ndarray, base: int) -> tuple[np.ndarray, n
         table[_slot(pairs[::-1] >> 32, pairs[::-1] & 0xFFFFFFFF)] = np.arange(len(pairs) - 1, -1, -1)  # of pairs in one slot, the most frequent
         place = table[slot[at]]
         hit = (place >= 0) & (pairs[place] == keys)
-        ranks = np.full(len(seq) + 1, len(pairs), np.int32)
-        ranks[at[hit] + 1] = place[hit]
-        here = ranks[1:]
-        chosen = np.flatnonzero((here < len(pairs)) & (here < ranks[:-1]) & (here <= np.append(ranks[2:], len(pairs))))
+        where, here = at[hit], place[hit]
+        chosen = _apart(where, here)
         used, compact = np.unique(here[chosen], return_inverse=True)
+        chosen = where[chosen]
         made = pairs[used]
         rules.append(np.stack([made >> 32, made & 0xFFFFFFFF], axis=1))
         seq[chosen] = base + n_rules + compact
