@@ -110,12 +110,12 @@ def audit_parse_skip_bad(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {AUDIT_SQL}
     SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time, event_name,
       event_source, 'u' || user_id AS user_name,
-      CASE event_type WHEN 'view' THEN 'i-' || user_id ELSE 'b-' || user_id END AS resource_name,
-      CASE event_type WHEN 'view' THEN 'EC2' ELSE 'S3' END AS resource_type, region,
+      CASE event_type WHEN 'view' THEN 'i-' || user_id WHEN 'signup' THEN 'b-' || user_id ELSE 'updateproject' END AS resource_name,
+      CASE event_type WHEN 'view' THEN 'EC2' WHEN 'signup' THEN 'S3' ELSE 'CODEBUILD' END AS resource_type, region,
       CASE event_type WHEN 'view' THEN '{{"instances":"i-' || user_id || '","action":"start"}}'
-        ELSE '{{"action":"createbucket","bucket":"b-' || user_id || '"}}' END AS changes,
+        WHEN 'signup' THEN '{{"action":"createbucket","bucket":"b-' || user_id || '"}}' ELSE '{{"action":"updateproject"}}' END AS changes,
       account_id, 'acct ' || (user_id % 5) AS account_name
-    FROM au WHERE event_type IN ('view', 'signup')
+    FROM au WHERE event_type IN ('view', 'signup', 'purchase')
       AND date_trunc('second', ts) BETWEEN TIMESTAMP '{RUN_TIME}' - INTERVAL 10 DAY AND TIMESTAMP '{RUN_TIME}'""",
 )
 def res_cloudtrail_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,11 +127,11 @@ def res_cloudtrail_events(spark: SparkSession, sf: str) -> DataFrame:
 @check(
     "event_filter_semi",
     f"""WITH {AUDIT_SQL}
-    SELECT event_id, event_name, event_source FROM au WHERE event_type IN ('view', 'signup')
+    SELECT event_id, event_name, event_source FROM au WHERE event_type IN ('view', 'signup', 'purchase')
       AND ts >= TIMESTAMP '{RUN_TIME}' - INTERVAL 10 DAY AND ts <= TIMESTAMP '{RUN_TIME}'""",
 )
 def event_filter_semi(spark: SparkSession, sf: str) -> DataFrame:
-    """Both the name and the source must be listed; DescribeInstances, codebuild and cloudtrail are not."""
+    """Both the name and the source must be listed; the name DescribeInstances and the source cloudtrail are not."""
     recent = audit_log.recent(as_audit(spark, sf), run_ts(), ts="ts")
     return audit_log.important(recent, "event_name", "event_source").select("event_id", "event_name", "event_source")
 
@@ -140,7 +140,7 @@ def event_filter_semi(spark: SparkSession, sf: str) -> DataFrame:
     "event_type_lookup",
     f"""WITH {AUDIT_SQL}
     SELECT event_id, CASE event_source WHEN 'ec2.amazonaws.com' THEN 'EC2' WHEN 's3.amazonaws.com' THEN 'S3'
-      WHEN 'cloudtrail.amazonaws.com' THEN 'CLOUDTRAIL' ELSE 'UNKNOWN' END AS resource_type,
+      WHEN 'cloudtrail.amazonaws.com' THEN 'CLOUDTRAIL' WHEN 'codebuild.amazonaws.com' THEN 'CODEBUILD' ELSE 'UNKNOWN' END AS resource_type,
       event_source = 's3.amazonaws.com' OR event_source LIKE 'ec2%' AS valid FROM au""",
 )
 def event_type_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -155,21 +155,15 @@ def event_type_lookup(spark: SparkSession, sf: str) -> DataFrame:
 @check(
     "ingest_funnel",
     f"""WITH {AUDIT_SQL}
-    SELECT region, account_id, count(*) AS total, count(*) FILTER (WHERE event_type IN ('view', 'signup')) AS important,
-      count(*) FILTER (WHERE event_type = 'view') AS inserted FROM au GROUP BY region, account_id""",
+    SELECT region, account_id, count(*) AS total, count(*) FILTER (WHERE event_type IN ('view', 'signup', 'purchase')) AS important,
+      count(*) FILTER (WHERE event_type IN ('view', 'purchase')) AS inserted FROM au GROUP BY region, account_id""",
 )
 def ingest_funnel(spark: SparkSession, sf: str) -> DataFrame:
     """All polled events, those that are important, and those not stored before (signups are)."""
     ev = as_audit(spark, sf)
-    kept = audit_log.important(ev, "event_name", "event_source").select("event_id", F.lit(True).alias("important"))
     stored = ev.where(F.col("event_type") == "signup").select("event_id", F.lit(True).alias("stored"))
-    marked = ev.join(kept, "event_id", "left").join(stored, "event_id", "left")
-    flags = marked.withColumns(
-        {
-            "important": F.coalesce("important", F.lit(False)),
-            "inserted": F.coalesce("important", F.lit(False)) & F.col("stored").isNull(),
-        }
-    )
+    marked = ev.withColumn("important", audit_log.is_important(F.col("event_name"), F.col("event_source"))).join(stored, "event_id", "left")
+    flags = marked.withColumn("inserted", F.col("important") & F.col("stored").isNull())
     return report.ingest_funnel(flags, ["region", "account_id"])
 
 
@@ -281,6 +275,6 @@ def stream_audit_dedup(spark: SparkSession, sf: str) -> DataFrame:
     twice = stream.withColumn("poll", F.explode(F.array(F.lit(1), F.lit(2))))
     typed = twice.select(text("event_id").alias("event_id"), F.col("event_type").alias("event_name"), F.col("ts").alias("event_time"))
     out = session.scratch(spark, "stream")
-    audit_stream.start(audit_stream.once_per_id(typed), f"{out}/events", f"{out}/checkpoint").awaitTermination()
+    audit_stream.start(audit_stream.once_per_id(typed), f"{out}/events", f"{out}/checkpoint", None).awaitTermination()
     done = spark.read.parquet(f"{out}/events")
     return done.withColumn("event_time", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"))

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inventrace import session
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,9 +65,9 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A given table; ``spread`` uses all cores for expensive row-wise work on a small scan."""
+    """A given table; ``spread`` deals its rows to all shuffle partitions for expensive row-wise work (a given file is one split)."""
     df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    return session.spread(df) if spread else df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if spread else df
 
 
 def run_ts() -> Column:

@@ -519,7 +519,7 @@ def history_append(spark: SparkSession, sf: str) -> DataFrame:
     cells = upsert.significant(upsert.changed_cells(OWNED, store.write(OWNED, compared, "run1")))
     rows = upsert.history_rows(cells.withColumn("changed_by", F.lit("unknown")))
     for run in ("run1", "run2", "run2"):
-        store.append_history(rows, run)
+        store.append_history(rows, "ORDERS", run)
     return (
         store.resource_history("ORDERS")
         .groupBy("service_type", "run_id", "field_name")

@@ -19,10 +19,9 @@ def status_text(inserted: Column, updated: Column) -> Column:
 
 
 def run_summary(metrics: DataFrame) -> DataFrame:
-    """Counters summed per service, with the status line."""
-    total = metrics.groupBy("service").agg(
-        *[F.sum(c).alias(c) for c in ("processed", "inserted", "updated", "matched")]
-    )
+    """Counters summed per service, with the status line. Other counters (rejected, total ...) are summed as well."""
+    counts = [c for c in metrics.columns if c != "service"]
+    total = metrics.groupBy("service").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts])
     status = status_text(F.col("inserted"), F.col("updated"))
     return total.withColumns(
         {"status": status, "message": F.concat(F.upper("service"), F.lit(": "), status)}

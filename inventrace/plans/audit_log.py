@@ -29,19 +29,46 @@ def event_texts(pages: DataFrame) -> DataFrame:
 
 def parse_events(texts: DataFrame) -> DataFrame:
     """Parse each payload once; malformed payloads are skipped."""
-    parsed = texts.withColumn("d", audit.parse_detail(F.col("payload"))).drop("payload")
-    return parsed.where(F.col("d").isNotNull() & F.col("d._corrupt").isNull())
+    return detailed(texts).where(F.col("d").isNotNull() & F.col("d._corrupt").isNull()).drop("payload")
+
+
+def detailed(texts: DataFrame) -> DataFrame:
+    """Payloads with their parsed document ``d``.
+
+    The document comes out of a generator: filters and projections above it would otherwise be pushed down with a copy
+    of the parse each.
+    """
+    return once(texts, audit.parse_detail(F.col("payload")), "d")
+
+
+def once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """``value`` as a column that is worked out one time per row, whatever reads it."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def important(
     df: DataFrame, name: str, source: str, names: DataFrame | None = None, sources: DataFrame | None = None
 ) -> DataFrame:
-    """Keep events whose name and source are both listed (two semi joins with fixed-size lists)."""
+    """Keep events whose name and source are both listed. Only the built-in lists, of fixed size, are broadcast by hint."""
     spark = df.sparkSession
-    names = names if names is not None else name_list(spark, kept_event_names())
-    sources = sources if sources is not None else name_list(spark, EVENT_SOURCES)
-    by_name = df.join(F.broadcast(names.select(F.col("name").alias(name))), name, "left_semi")
-    return by_name.join(F.broadcast(sources.select(F.col("name").alias(source))), source, "left_semi")
+    names = names if names is not None else F.broadcast(name_list(spark, kept_event_names()))
+    sources = sources if sources is not None else F.broadcast(name_list(spark, EVENT_SOURCES))
+    by_name = df.join(names.select(F.col("name").alias(name)), name, "left_semi")
+    return by_name.join(sources.select(F.col("name").alias(source)), source, "left_semi")
+
+
+def is_important(name: Column, source: Column) -> Column:
+    """The rule of :func:`important` as a flag, from the built-in lists."""
+    return F.coalesce(name.isin(kept_event_names()) & source.isin(EVENT_SOURCES), F.lit(False))
+
+
+def polled_events(pages: DataFrame) -> DataFrame:
+    """All polled events in one pass: account_id, payload (of broken ones), broken, important, event (of important ones)."""
+    rows = detailed(event_texts(pages)).withColumn("broken", F.col("d").isNull() | F.col("d._corrupt").isNotNull())
+    rows = rows.withColumn("important", ~F.col("broken") & is_important(F.col("d.eventName"), F.col("d.eventSource")))
+    typed = typed_columns(rows)
+    event = F.when(F.col("important"), F.struct(*[F.col(f"_event.{f}") for f in typed.schema["_event"].dataType.names]))
+    return typed.select("account_id", F.when(F.col("broken"), F.col("payload")).alias("payload"), "broken", "important", event.alias("event"))
 
 
 def name_list(spark: SparkSession, names: list[str]) -> DataFrame:
@@ -50,6 +77,11 @@ def name_list(spark: SparkSession, names: list[str]) -> DataFrame:
 
 def typed_events(parsed: DataFrame) -> DataFrame:
     """Parsed important events -> the event table's columns."""
+    return typed_columns(parsed).select("_event.*")
+
+
+def typed_columns(parsed: DataFrame) -> DataFrame:
+    """Parsed events with the event table's columns as struct ``_event``."""
     d = F.col("d")
     base = parsed.withColumns(
         {
@@ -59,7 +91,7 @@ def typed_events(parsed: DataFrame) -> DataFrame:
     ).withColumns({"req": F.try_parse_json("req_text"), "resp": F.try_parse_json("resp_text")})
     name = audit.resource_name(d["eventSource"], F.col("req_text"), F.col("req"), F.col("resp_text"), F.col("resp"))
     named = base.withColumn("resource", name)
-    return named.select(
+    event = F.struct(
         F.coalesce(d["eventID"], F.lit("")).alias("event_id"),
         audit.event_time(d["eventTime"]).alias("event_time"),
         d["eventName"].alias("event_name"),
@@ -74,6 +106,7 @@ def typed_events(parsed: DataFrame) -> DataFrame:
         "account_id",
         "account_name",
     )
+    return once(named, event, "_event")
 
 
 def events_from_pages(pages: DataFrame, run_ts: Column | None = None) -> DataFrame:
@@ -109,6 +142,11 @@ def read_events(spark: SparkSession, path: str, since: Column | None = None) ->
     return df.where(F.col("event_date") >= F.to_date(since)) if since is not None else df
 
 
+def stored_layout(events: DataFrame, created_at: Column) -> DataFrame:
+    """Typed events as they are stored, by batch and stream alike: with created_at, and event_date to partition by."""
+    return events.withColumns({"created_at": created_at, "event_date": F.to_date("event_time")})
+
+
 def append_events(
     spark: SparkSession, events: DataFrame, path: str, run_ts: Column, days: int = LOOK_BACK_DAYS
 ) -> DataFrame:
@@ -119,9 +157,7 @@ def append_events(
     """
     since = run_ts - F.expr(f"INTERVAL {days} DAYS")
     known = read_events(spark, path, since)
-    fresh = new_events(recent(events, run_ts, days), known).withColumns(
-        {"created_at": run_ts, "event_date": F.to_date("event_time")}
-    )
+    fresh = stored_layout(new_events(recent(events, run_ts, days), known), run_ts)
     # Rebalancing writes few files per day and still splits a day that holds most of the events.
     fresh.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(path)
     return read_events(spark, path, since)

@@ -12,17 +12,22 @@ from pyspark.sql import functions as F
 from inventrace.operators import attribution, report
 from inventrace.operators import upsert as merging
 from inventrace.plans import audit_log
-from inventrace.session import size_shuffles
-from inventrace.sources.landed import bytes_at, read_dataset, read_raw, split_invalid
+from inventrace.session import scratch, sized_shuffles
+from inventrace.sources.landed import bytes_at, corrupt_lines, read_dataset, read_raw, split_invalid
 from inventrace.sources.state import StateStore
 from inventrace.specs.model import Raw, ResourceSpec
 from inventrace.specs.registry import AUDIT, SPECS, select_services
 
 
 def flatten(spec: ResourceSpec, raw: Raw) -> DataFrame:
-    """Landed documents -> one typed row per resource; rows without an id are dropped."""
+    """Landed documents -> one typed row per resource; rows without an id or a part of their key are left out."""
+    return flatten_all(spec, raw)[0]
+
+
+def flatten_all(spec: ResourceSpec, raw: Raw) -> tuple[DataFrame, DataFrame]:
+    """(rows of :func:`flatten`, the rows it leaves out)."""
     flat = spec.flatten(raw).select(*spec.column_names)
-    return split_invalid(flat, spec.resource_id)[0]
+    return split_invalid(flat, spec.resource_id, key=spec.key)
 
 
 def diff(spec: ResourceSpec, snapshot: DataFrame, state: DataFrame, run_ts: Column) -> DataFrame:
@@ -78,9 +83,22 @@ def upsert(
 
 
 class Sync:
-    """One run over a landing folder and a state store."""
+    """One run over a landing folder and a state store.
+
+    ``look_back_days`` bounds the age of audit events that are taken in; older ones count as ``rejected`` in the summary.
+    ``keep_versions`` is how many state versions of a table stay; older ones are deleted after each run.
+    """
 
-    def __init__(self, spark: SparkSession, landing: str, store: str, run_time: datetime):
+    def __init__(
+        self,
+        spark: SparkSession,
+        landing: str,
+        store: str,
+        run_time: datetime,
+        look_back_days: int = audit_log.LOOK_BACK_DAYS,
+        keep_versions: int = 2,
+    ):
+        self.look_back_days, self.keep_versions = look_back_days, keep_versions
         self.spark = spark
         self.landing = landing.rstrip("/")
         self.store = StateStore(spark, store)
@@ -95,19 +113,33 @@ class Sync:
         return f"{self.store.root}/cloudtrail_events"
 
     def ingest_audit(self) -> DataFrame:
-        """Load landed audit pages of the run; returns the run's counters."""
-        size_shuffles(self.spark, bytes_at(self.spark, f"{self.landing}/{AUDIT}/events/dt={self.run_date}"))
-        pages = read_dataset(self.spark, f"{self.landing}/{AUDIT}/events", audit_log.RAW_DOC, self.run_date)
-        incoming = audit_log.events_from_pages(pages, self.run_ts)
-        audit_log.append_events(self.spark, incoming, self.events_path, self.run_ts)
-        stored = audit_log.read_events(self.spark, self.events_path, self.run_ts - F.expr("INTERVAL 10 DAYS"))
-        return stored.where(F.col("created_at") == self.run_ts).agg(
-            F.lit(AUDIT).alias("service"),
-            F.count(F.lit(1)).alias("processed"),
-            F.count(F.lit(1)).alias("inserted"),
-            F.lit(0).cast("long").alias("updated"),
-            F.lit(0).cast("long").alias("matched"),
-        )
+        """Load landed audit pages of the run; returns the run's counters with the funnel total / important / inserted.
+
+        The pages are parsed once, into a scratch table of all polled events. Broken payloads and cut lines go to quarantine.
+        """
+        landed = f"{self.landing}/{AUDIT}/events"
+        with sized_shuffles(self.spark, bytes_at(self.spark, f"{landed}/dt={self.run_date}")):
+            pages = read_dataset(self.spark, landed, audit_log.RAW_DOC, self.run_date)
+            polled = self._scratched(audit_log.polled_events(pages), "polled")
+            broken = polled.where("broken").select(F.lit("events").alias("dataset"), "account_id", F.col("payload").alias("content"))
+            cut = corrupt_lines(pages).select(F.lit("events").alias("dataset"), "account_id", "content")
+            rejected = self.store.quarantine(cut.unionByName(broken), AUDIT, self.run_id)
+            kept = polled.where("important").select("event.*")
+            audit_log.append_events(self.spark, kept, self.events_path, self.run_ts, self.look_back_days)
+        since = self.run_ts - F.expr(f"INTERVAL {self.look_back_days} DAYS")
+        stored = audit_log.read_events(self.spark, self.events_path, since)
+        long = lambda n: F.lit(n).cast("long")
+        inserted = stored.where(F.col("created_at") == self.run_ts).select(long(0).alias("total"), long(0).alias("important"), long(1).alias("inserted"), long(0).alias("rejected"))
+        late = F.col("important") & ~F.coalesce((F.col("event.event_time") >= since) & (F.col("event.event_time") <= self.run_ts), F.lit(False))
+        funnel = polled.where("NOT broken").select(long(1).alias("total"), F.col("important").cast("long").alias("important"), long(0).alias("inserted"), late.cast("long").alias("rejected"))
+        thrown = rejected.select(long(0).alias("total"), long(0).alias("important"), long(0).alias("inserted"), long(1).alias("rejected"))
+        counts = report.union_all([inserted, funnel, thrown]).agg(*[F.coalesce(F.sum(c), long(0)).alias(c) for c in ("total", "important", "inserted", "rejected")])
+        return counts.select(F.lit(AUDIT).alias("service"), F.col("inserted").alias("processed"), "inserted", long(0).alias("updated"), long(0).alias("matched"), "total", "important", "rejected")
+
+    def _scratched(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch(self.spark, label)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def events_for(self, spec: ResourceSpec) -> DataFrame:
         """Events attribution can use: the days around the run, or all where there is no time bound."""
@@ -129,14 +161,19 @@ class Sync:
         The compared frame is written once, as the new state version with its control columns.
         History and counters read that table, so the join runs once and survives lost executors.
         """
-        size_shuffles(self.spark, self.input_bytes(spec))
-        raw = raw if raw is not None else read_raw(self.spark, self.landing, spec, self.run_date)
-        snapshot = flatten(spec, raw)
-        compared = merging.compare(spec, snapshot, self.store.read(spec, before=self.run_id), self.run_ts)
-        written = self.store.write(spec, compared, self.run_id)
-        result = upsert_frames(spec, written, self.events_for(spec), self.mapping, self.run_ts)
-        self.store.append_history(result.changes, self.run_id)
-        return result.metrics
+        with sized_shuffles(self.spark, self.input_bytes(spec)):
+            raw = raw if raw is not None else read_raw(self.spark, self.landing, spec, self.run_date)
+            snapshot, left_out = flatten_all(spec, raw)
+            cut = [corrupt_lines(p).select(F.lit(n).alias("dataset"), "account_id", "content") for n, p in raw.items() if "_corrupt" in p.columns]
+            lost = left_out.select(F.lit("").alias("dataset"), F.col("account_id").cast("string").alias("account_id"), F.to_json(F.struct("*")).alias("content"))
+            rejected = self.store.quarantine(report.union_all([lost, *cut]), spec.service, self.run_id)
+            compared = merging.compare(spec, snapshot, self.store.read(spec, before=self.run_id), self.run_ts)
+            written = self.store.write(spec, compared, self.run_id)
+            result = upsert_frames(spec, written, self.events_for(spec), self.mapping, self.run_ts)
+            self.store.append_history(result.changes, spec.service_type, self.run_id)
+            self.store.expire(spec, self.keep_versions)
+        thrown = rejected.groupBy(F.lit(spec.service).alias("service")).agg(F.count(F.lit(1)).alias("rejected"))
+        return report.union_all([result.metrics, thrown])
 
     def run(self, services: Iterable[str] = ("all",), raw: Mapping[str, Raw] | None = None) -> DataFrame:
         """All selected services, audit log first; returns the summary with one row per service."""

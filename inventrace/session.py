@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,20 +52,27 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 PARTITION_BYTES = 128 * 1024 * 1024
-#: Beyond this many, tracking the blocks costs more than larger, spilling partitions (1 GB each at 100 TB).
-MAX_PARTITIONS = 100_000
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Start shuffles with partitions of about 128 MB of input; returns their number.
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Inside, shuffles start with partitions of about 128 MB of input; yields their number.
 
     AQE merges partitions that turn out small but never adds any, so a fixed ``spark.sql.shuffle.partitions``
-    would give a large table partitions that do not fit in memory. The session's own number is the minimum.
+    would give a large table partitions that do not fit in memory. The session's own number is the minimum, and
+    the session has its own setting back afterwards.
     """
-    by_size = min(-(-input_bytes // PARTITION_BYTES), MAX_PARTITIONS)
-    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), by_size)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    return wanted
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // PARTITION_BYTES))
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(wanted))
+    try:
+        yield wanted
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def fixed_rows(spark: SparkSession, rows: list[tuple[str, ...]], columns: str) -> DataFrame:
@@ -75,12 +84,3 @@ def fixed_rows(spark: SparkSession, rows: list[tuple[str, ...]], columns: str) -
     values = ", ".join("(" + ", ".join(quoted(v) for v in row) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({columns})")
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of few files to all cores; a scan with enough partitions stays as it is.
-
-    Meant for input feeding expensive row-wise work (JSON). On a large table the scan has far more
-    partitions than there are cores and no shuffle is added.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df

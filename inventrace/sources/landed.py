@@ -6,6 +6,8 @@ Layout: ``<root>/<service>/<dataset>/dt=<date>/*.json``, each line
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,9 +65,16 @@ def items(pages: DataFrame, path: str) -> DataFrame:
     return out
 
 
-def split_invalid(df: DataFrame, required: str, corrupt: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected): rejected rows are malformed or lack their id, and go to quarantine."""
+def corrupt_lines(pages: DataFrame) -> DataFrame:
+    """(account_id, content) of landed lines that are no valid pages. ``pages`` comes from :func:`read_dataset`."""
+    return pages.where(F.col("_corrupt").isNotNull()).select("account_id", F.col("_corrupt").alias("content"))
+
+
+def split_invalid(df: DataFrame, required: str, corrupt: str | None = None, key: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected): rejected rows are malformed, lack their id or a part of their key, and go to quarantine."""
     bad: Column = F.col(required).isNull() | (F.col(required).cast("string") == "")
+    for part in key:
+        bad = bad | F.col(part).isNull()
     if corrupt:
         bad = bad | F.col(corrupt).isNotNull()
     return df.where(~bad), df.where(bad)

@@ -1,8 +1,8 @@
 """Stored state and change history as Parquet tables.
 
 State is a version directory per run (``v=<run id>``). A version counts once its ``_SUCCESS`` marker
-exists, so a failed or retried job never damages the state that readers see. History is appended in
-partitions by service type and run id; re-running a run replaces only its own partition.
+exists, so a failed or retried job never damages the state that readers see. History and quarantine have one
+directory per service and run; re-running a run replaces its own, also with nothing.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ HISTORY_COLUMNS = (
     "changed_by string, account_id string, region string, run_id string"
 )
 
+QUARANTINE_COLUMNS = "service string, run_id string, dataset string, account_id string, content string"
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -65,14 +67,24 @@ class StateStore:
             fs.delete(target, True)
         return old
 
-    def append_history(self, rows: DataFrame, run_id: str) -> None:
-        (
-            rows.withColumn("run_id", F.lit(run_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("service_type", "run_id")
-            .parquet(f"{self.root}/changes_history")
-        )
+    def append_history(self, rows: DataFrame, service_type: str, run_id: str) -> None:
+        """Replace the history of one resource kind and run. All rows are of that kind."""
+        path = f"{self.root}/changes_history/service_type={service_type}/run_id={run_id}"
+        rows.drop("service_type").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+    def quarantine(self, rows: DataFrame, service: str, run_id: str) -> DataFrame:
+        """Replace the rejected rows (dataset, account_id, content) of one service and run; returns them as stored."""
+        path = f"{self.root}/quarantine/service={service}/run_id={run_id}"
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def rejected(self) -> DataFrame:
+        """All rejected rows with their service and run."""
+        path = f"{self.root}/quarantine"
+        target, fs = _fs(self.spark, path)
+        if not fs.exists(target):
+            return self.spark.createDataFrame([], QUARANTINE_COLUMNS)
+        return self.spark.read.schema(QUARANTINE_COLUMNS).parquet(path)
 
     def history(self) -> DataFrame:
         path = f"{self.root}/changes_history"

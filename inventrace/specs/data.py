@@ -27,11 +27,11 @@ TAGS = "array<struct<Key: string, Value: string>>"
 SCOPE = ["account_id", "region"]
 
 
-def _clipped_scope() -> list[Column]:
+def _scope_columns() -> list[Column]:
     return [
-        clip(F.col("region"), 50).alias("region"),
-        clip(F.col("account_name"), 255).alias("account_name"),
-        clip(F.col("account_id"), 20).alias("account_id"),
+        F.col("region"),
+        F.col("account_name"),
+        F.col("account_id"),
     ]
 
 
@@ -257,12 +257,12 @@ def flatten_glue(raw: Raw) -> DataFrame:
     d = F.col("d")
     catalog = F.try_element_at(d["DefaultArguments"], F.lit("--enable-glue-datacatalog"))
     return items(raw["jobs"], "Jobs").select(
-        clip(d["Name"], 255).alias("job_name"),
+        d["Name"].alias("job_name"),
         job_type(d["Command"]["Name"]).alias("type"),
         or_default(utc_text(d["CreatedOn"])).alias("domain"),
         job_creator(d["CodeGenConfigurationNodes"], d["Command"]["ScriptLocation"], catalog).alias("created_by"),
         clip(or_default(d["GlueVersion"]), 50).alias("glue_version"),
-        *_clipped_scope(),
+        *_scope_columns(),
     )
 
 
@@ -304,7 +304,7 @@ def _query_row(x: Column, query_id: Column, query: Column, database: Column, own
     has_from = F.contains(F.upper(query), F.lit("FROM"))
     millis = F.coalesce(x["Statistics"]["TotalExecutionTimeInMillis"], F.lit(0))
     return [
-        clip(query_id, 255).alias("query_id"),
+        query_id.alias("query_id"),
         F.concat(F.lit("Query-"), clip(query_id, 8)).alias("query_name"),
         clip(database, 255).alias("domain"),
         clip(or_default(F.nullif(query, F.lit(""))), 500).alias("description"),
@@ -313,7 +313,7 @@ def _query_row(x: Column, query_id: Column, query: Column, database: Column, own
         (millis / F.lit(1000.0)).alias("execution_duration"),
         F.lit("On-demand").alias("execution_frequency"),
         clip(owner, 255).alias("owner"),
-        *_clipped_scope(),
+        *_scope_columns(),
     ]
 
 

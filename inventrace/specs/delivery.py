@@ -24,11 +24,11 @@ TAGS = "array<struct<Key: string, Value: string>>"
 SCOPE = ["account_id", "region"]
 
 
-def _clipped_scope() -> list[Column]:
+def _scope_columns() -> list[Column]:
     return [
-        clip(F.col("region"), 50).alias("region"),
-        clip(F.col("account_name"), 255).alias("account_name"),
-        clip(F.col("account_id"), 20).alias("account_id"),
+        F.col("region"),
+        F.col("account_name"),
+        F.col("account_id"),
     ]
 
 
@@ -36,12 +36,12 @@ def flatten_cloudformation(raw: Raw) -> DataFrame:
     d = F.col("d")
     live = items(raw["stacks"], "Stacks").where(~d["StackStatus"].eqNullSafe(F.lit("DELETE_COMPLETE")))
     return live.select(
-        clip(d["StackName"], 255).alias("stack_name"),
+        d["StackName"].alias("stack_name"),
         clip(or_default(d["StackStatus"]), 50).alias("stack_status"),
         d["CreationTime"].alias("creation_time"),
         clip(or_default_blank(d["Description"]), 500).alias("description"),
         clip(join_or(d["Capabilities"]), 255).alias("capabilities"),
-        *_clipped_scope(),
+        *_scope_columns(),
     )
 
 
@@ -78,12 +78,12 @@ def log_uri(bucket: Column, prefix: Column) -> Column:
 def flatten_trails(raw: Raw) -> DataFrame:
     d = F.col("d")
     return items(raw["trails"], "trailList").select(
-        clip(d["Name"], 255).alias("trail_name"),
+        d["Name"].alias("trail_name"),
         clip(log_uri(d["S3BucketName"], d["S3KeyPrefix"]), 500).alias("log_location"),
         yes_no(d["IsMultiRegionTrail"], False).alias("is_multi_region"),
         yes_no(d["IsOrganizationTrail"], False).alias("is_organization"),
         yes_no(d["IncludeGlobalServiceEvents"], True).alias("include_global_events"),
-        *_clipped_scope(),
+        *_scope_columns(),
     )
 
 
@@ -115,12 +115,12 @@ def flatten_ssm(raw: Raw) -> DataFrame:
     zero = F.lit(0).cast("long")
     defaults = ageing(zero, zero)
     return joined.select(
-        clip(F.col("_id"), 255).alias("association_id"),
+        F.col("_id").alias("association_id"),
         clip(or_default(d["Name"]), 255).alias("association_name"),
         clip(or_default(d["DocumentName"]), 255).alias("domain"),
         *[F.coalesce(c, zero).alias(c) for c in ("compliant_resources", "non_compliant_resources")],
         *[F.coalesce(F.col(c), v).alias(c) for c, v in defaults.items()],
-        *_clipped_scope(),
+        *_scope_columns(),
     )
 
 
@@ -160,7 +160,7 @@ def flatten_stepfunctions(raw: Raw) -> DataFrame:
     found = F.col("_role").isNotNull()
     role = F.when(F.col("_role") != MISSING, last_segment(F.col("_role"), "/"))
     return joined.select(
-        clip(F.col("_arn"), 255).alias("stepfunction_arn"),
+        F.col("_arn").alias("stepfunction_arn"),
         clip(last_segment(F.col("_arn"), ":"), 255).alias("instance_id"),
         clip(or_default(d["name"]), 255).alias("stepfunction_name"),
         clip(or_default(d["definition"]), 500).alias("description"),
@@ -168,7 +168,7 @@ def flatten_stepfunctions(raw: Raw) -> DataFrame:
         F.when(found, or_default(F.col("_versions"), 1)).otherwise(F.lit(1)).cast("long").alias("versions"),
         clip(or_default(role), 255).alias("roles_permissions"),
         clip(or_default(d["status"], "ACTIVE"), 50).alias("status"),
-        *_clipped_scope(),
+        *_scope_columns(),
     )
 
 
@@ -214,12 +214,12 @@ def flatten_codepipeline(raw: Raw) -> DataFrame:
         .otherwise(or_default(last["status"], "Unknown"))
     )
     return joined.select(
-        clip(F.col("_name"), 255).alias("pipeline_name"),
+        F.col("_name").alias("pipeline_name"),
         clip(status, 100).alias("last_execution_status"),
         clip(join_or(revisions, first=3), 500).alias("latest_source_revisions"),
         micros_text(last["startTime"]).alias("last_execution_started"),
         count_of(runs).alias("recent_executions"),
-        *_clipped_scope(),
+        *_scope_columns(),
     )
 
 

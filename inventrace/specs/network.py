@@ -345,12 +345,12 @@ def flatten_apigateway(raw: Raw) -> DataFrame:
     """REST (v1) and HTTP/WebSocket (v2) APIs in one table."""
     d = F.col("d")
     scope = (
-        clip(F.col("region"), 50).alias("region"),
-        clip(F.col("account_name"), 255).alias("account_name"),
-        clip(F.col("account_id"), 20).alias("account_id"),
+        F.col("region"),
+        F.col("account_name"),
+        F.col("account_id"),
     )
     rest = items(raw["rest_apis"], "items").select(
-        clip(d["id"], 255).alias("api_id"),
+        d["id"].alias("api_id"),
         clip(or_default_blank(d["name"]), 500).alias("name"),
         or_default_blank(d["description"]).alias("description"),
         F.lit("REST").alias("protocol"),
@@ -359,7 +359,7 @@ def flatten_apigateway(raw: Raw) -> DataFrame:
         *scope,
     )
     http = items(raw["apis"], "Items").select(
-        clip(d["ApiId"], 255).alias("api_id"),
+        d["ApiId"].alias("api_id"),
         clip(or_default_blank(d["Name"]), 500).alias("name"),
         or_default_blank(d["Description"]).alias("description"),
         clip(or_default_blank(d["ProtocolType"], "HTTP"), 100).alias("protocol"),
@@ -413,13 +413,13 @@ def flatten_transfer(raw: Raw) -> DataFrame:
     ed = s["EndpointDetails"]
     endpoint = endpoint_text(s["EndpointType"], ed["VpcId"], ed["SubnetIds"], ed["VpcEndpointId"])
     return joined.select(
-        clip(F.col("_id"), 255).alias("server_id"),
+        F.col("_id").alias("server_id"),
         clip(or_default(s["Domain"], "S3"), 255).alias("domain"),
         clip(F.when(s.isNotNull(), endpoint).otherwise(F.lit(MISSING)), 500).alias("endpoint"),
         clip(or_default(s["State"], "UNKNOWN"), 50).alias("state"),
-        clip(F.col("region"), 50).alias("region"),
-        clip(F.col("account_name"), 255).alias("account_name"),
-        clip(F.col("account_id"), 20).alias("account_id"),
+        F.col("region"),
+        F.col("account_name"),
+        F.col("account_id"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from inventrace.plans.audit_log import LOOK_BACK_DAYS, RAW_DOC, important, parse_events, event_texts, typed_events
+from inventrace.plans.audit_log import LOOK_BACK_DAYS, RAW_DOC, event_texts, important, parse_events, stored_layout, typed_events
 from inventrace.sources.landed import ENVELOPE
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -31,12 +31,14 @@ def stream_events(pages: DataFrame) -> DataFrame:
     parsed = parse_events(event_texts(pages))
     parsed = parsed.withColumns({"event_name": F.col("d.eventName"), "event_source": F.col("d.eventSource")})
     events = typed_events(important(parsed, "event_name", "event_source").drop("event_name", "event_source"))
-    return once_per_id(events)
+    return stored_layout(once_per_id(events), F.current_timestamp().cast("timestamp_ntz"))
 
 
-def start(events: DataFrame, path: str, checkpoint: str, partition_by: str | None = None) -> StreamingQuery:
+def start(events: DataFrame, path: str, checkpoint: str, partition_by: str | None = "event_date") -> StreamingQuery:
     """Write everything available, then stop. Progress and ids are kept in ``checkpoint``.
 
+    The default layout is that of the event table, which :func:`inventrace.plans.audit_log.read_events` reads.
+
     The ids of ten days do not fit on the heap of a large deployment, so state goes to RocksDB unless
     the session names another provider.
     """

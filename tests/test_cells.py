@@ -163,6 +163,6 @@ def test_first_table(spark):
 
 def test_fixed_values():
     assert len(EVENT_NAMES) == len(set(EVENT_NAMES))
-    assert len(EVENT_SOURCES) == 17
+    assert len(EVENT_SOURCES) == 19
     kept = set(kept_event_names())
     assert {e for _, _, e in field_events()} <= kept and set(EVENT_NAMES) <= kept

@@ -125,11 +125,13 @@ def test_merge_statement_uses_the_whole_key():
 
 
 def test_shuffle_size_follows_the_input(spark, landing, tmp_path):
-    from inventrace.session import size_shuffles
+    from inventrace.session import sized_shuffles
 
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
     sync = Sync(spark, str(landing), str(tmp_path / "empty"), DAY1)
     assert sync.input_bytes(SPECS["ec2"]) > 0
-    assert size_shuffles(spark, 1000) == 4
-    assert size_shuffles(spark, 10**12) == 7451
-    assert size_shuffles(spark, 10**14) == 100_000
-    assert size_shuffles(spark, 0) == 4
+    for size, partitions in ((1000, 4), (10**12, 7451), (10**14, 745_059), (0, 4)):
+        with sized_shuffles(spark, size) as n:
+            assert n == partitions == int(spark.conf.get(key))
+        assert spark.conf.get(key, None) == before
