@@ -6,6 +6,9 @@ the expected columns straight from the tables.
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,11 +38,25 @@ def tag(key: str, value: Column) -> Column:
     return obj(Key=lit(key), Value=value)
 
 
+def mixed_zones(ts: Column, key: Column) -> Column:
+    """The same moment without a zone, in UTC, and two hours east."""
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    plain, east = F.date_format(ts, iso), F.date_format(ts + F.expr("INTERVAL 2 HOURS"), iso)
+    return (
+        F.when(key % 4 == 0, plain)
+        .when(key % 4 == 1, F.concat(plain, F.lit("Z")))
+        .when(key % 4 == 2, F.concat(east, F.lit("+02:00")))
+        .otherwise(F.concat(east, F.lit("+0200")))
+    )
+
+
 class Landing:
     """Landed pages of one resource, built row by row from a table with a numeric key."""
 
-    def __init__(self, service: str, base: DataFrame, key: str):
-        self.spec: ResourceSpec = SPECS[service]
+    def __init__(self, service: str, base: DataFrame, key: str, **options: int):
+        """``options`` go to the resource's flatten function."""
+        spec = SPECS[service]
+        self.spec: ResourceSpec = replace(spec, flatten=partial(spec.flatten, **options)) if options else spec
         self.base = base
         self.key = key
         self.raw: dict[str, DataFrame] = {}
@@ -559,7 +576,7 @@ def res_s3(spark: SparkSession, sf: str) -> DataFrame:
     )
     rows = land.base.where(size <= 45).withColumn("p", F.explode(points))
     point = obj(
-        Bucket=name, StorageType=F.col("p.kind"), Timestamp=F.col("p.at"), Maximum=F.col("p.n").cast("double"), RunTime=lit(RUN_TIME)
+        Bucket=name, StorageType=F.col("p.kind"), Timestamp=mixed_zones(F.col("p.at").cast("timestamp_ntz"), F.col("p_partkey")), Maximum=F.col("p.n").cast("double"), RunTime=lit(RUN_TIME)
     )
     return land.page("metrics", point, rows).flat()
 
@@ -594,7 +611,7 @@ def execution(detail_id: Column) -> Column:
         Query=F.when(kind == "click", cat("select a from t", uid, " where b")).when(kind == "signup", cat("show tables ", uid)),
         QueryExecutionContext=F.when(kind != "view", obj(Database=cat("db", uid))),
         Statistics=F.when(kind != "view", obj(TotalExecutionTimeInMillis=F.floor(F.col("value")))),
-        Status=obj(State=lit("SUCCEEDED"), SubmissionDateTime=F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
+        Status=obj(State=lit("SUCCEEDED"), SubmissionDateTime=mixed_zones(F.col("ts"), F.col("event_id"))),
         WorkGroup=F.when(kind == "purchase", lit("wg")),
     )
 
@@ -613,7 +630,7 @@ _Q = """CASE event_type WHEN 'view' THEN 'N/A' ELSE 'db' || user_id END"""
 )
 def res_athena(spark: SparkSession, sf: str) -> DataFrame:
     doc = obj(QueryExecution=execution(cat("query", F.col("event_id"))))
-    return Landing("athena", table(spark, sf, "events", spread=True), "event_id").page("executions", doc).flat()
+    return Landing("athena", table(spark, sf, "events", spread=True), "event_id", newest_queries=50).page("executions", doc).flat()
 
 
 @check(
@@ -631,8 +648,8 @@ def res_athena(spark: SparkSession, sf: str) -> DataFrame:
 def res_tax(spark: SparkSession, sf: str) -> DataFrame:
     """Listed ids with details; failed lookups (errors) keep the defaults."""
     qid = cat("query", F.col("event_id"))
-    land = Landing("tax", table(spark, sf, "events", spread=True), "event_id")
-    at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    land = Landing("tax", table(spark, sf, "events", spread=True), "event_id", newest_queries=50)
+    at = mixed_zones(F.col("ts"), F.col("event_id"))
     land.page("listed", obj(QueryExecutions=F.array(obj(QueryExecutionId=qid, SubmissionDateTime=at))))
     return land.page("executions", obj(QueryExecution=execution(qid)), land.base.where(F.col("event_type") != "error")).flat()
 
@@ -652,7 +669,7 @@ def res_cloudformation(spark: SparkSession, sf: str) -> DataFrame:
     stack = obj(
         StackName=cat("st-", F.col("o_orderkey")),
         StackStatus=F.when(pr == "1-URGENT", lit("DELETE_COMPLETE")).when(pr != "5-LOW", cat("S_", st)),
-        CreationTime=F.date_format("o_orderdate", ISO),
+        CreationTime=mixed_zones(F.col("o_orderdate"), F.col("o_orderkey")),
         Description=F.when(st == "O", lit("")).otherwise(pr),
         Capabilities=F.when(st == "O", F.array(lit("CAP_A"), lit("CAP_B"))).when(st == "F", F.expr("cast(array() as array<string>)")),
     )

@@ -17,6 +17,17 @@ def parse_naive(text: Column) -> Column:
     return F.regexp_replace(strip(text), OFFSET, "").try_cast("timestamp_ntz")
 
 
+def utc_naive(text: Column) -> Column:
+    """ISO-like text to TIMESTAMP_NTZ in UTC: an offset or zone suffix is applied; text without one is taken as UTC.
+
+    The instant is cast in the session time zone, which :func:`inventrace.session.build` pins to UTC.
+    """
+    raw = strip(text)
+    colon = F.regexp_replace(raw, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    zoned = F.regexp_like(raw, F.lit(OFFSET)) & F.contains(raw, F.lit(":"))
+    return F.when(zoned, F.to_utc_timestamp(colon.try_cast("timestamp"), F.current_timezone()).cast("timestamp_ntz")).otherwise(raw.try_cast("timestamp_ntz"))
+
+
 def micros_text(text: Column) -> Column:
     """Date text as ``yyyy-MM-dd HH:mm:ss.SSSSSS``; unparsable text is kept, blank is null."""
     raw = F.nullif(text, F.lit(""))

@@ -1,19 +1,19 @@
 """Landed snapshot documents: one JSON line per page, with the account and region it came from.
 
 Layout: ``<root>/<service>/<dataset>/dt=<date>/*.json``, each line
-``{"account_id", "account_name", "region", "doc": {...}}``. The date partition prunes to one run.
+``{"account_id", "account_name", "region", "page", "doc": {...}}``; ``page`` numbers the pages of one answer and may be missing. The date partition prunes to one run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inventrace.specs.model import Raw, ResourceSpec
 
-ENVELOPE = "account_id string, account_name string, region string"
+ENVELOPE = "account_id string, account_name string, region string, page int"
 
 
 def read_dataset(spark: SparkSession, path: str, doc: str, run_date: str | None = None) -> DataFrame:
@@ -65,6 +65,37 @@ def items(pages: DataFrame, path: str) -> DataFrame:
     return out
 
 
+def by_key(
+    pages: DataFrame, key: Column, name: str, lists: Mapping[str, Column] | None = None, first: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Details that may come in several pages, one row per account, region and key (as ``name``).
+
+    ``lists`` are joined in page order, of ``first`` the first page that has a value counts. Without page numbers the
+    order is that of the pages' content, so that reruns agree. A key's pages are as many as the service cut its answer into.
+    """
+    lists, first = lists or {}, first or {}
+    page = F.col("page") if "page" in pages.columns else F.lit(None).cast("int")
+    content = F.struct(page.alias("page"), F.to_json(F.struct("doc")).alias("text"), *[c.alias(n) for n, c in {**lists, **first}.items()])
+    rows = pages.where(F.col("doc").isNotNull()).select("account_id", "region", key.alias(name), content.alias("_page"))
+    grouped = rows.groupBy("account_id", "region", name).agg(F.collect_list("_page").alias("_pages"))
+    ordered = F.array_sort("_pages", _earlier_page)
+    joined = [F.flatten(_present(n)).alias(n) for n in lists]
+    picked = [F.get(_present(n), F.lit(0)).alias(n) for n in first]
+    return grouped.withColumn("_ordered", ordered).select("account_id", "region", name, *joined, *picked)
+
+
+def _present(name: str) -> Column:
+    """The values that the ordered pages have of one column."""
+    return F.filter(F.transform("_ordered", lambda p: p[name]), lambda x: x.isNotNull())
+
+
+def _earlier_page(a: Column, b: Column) -> Column:
+    x, y = F.coalesce(a["page"], F.lit(0)), F.coalesce(b["page"], F.lit(0))
+    less = (x < y) | ((x == y) & (a["text"] < b["text"]))
+    more = (x > y) | ((x == y) & (a["text"] > b["text"]))
+    return F.when(less, -1).when(more, 1).otherwise(0)
+
+
 def corrupt_lines(pages: DataFrame) -> DataFrame:
     """(account_id, content) of landed lines that are no valid pages. ``pages`` comes from :func:`read_dataset`."""
     return pages.where(F.col("_corrupt").isNotNull()).select("account_id", F.col("_corrupt").alias("content"))

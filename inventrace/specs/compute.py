@@ -18,11 +18,13 @@ from inventrace.functions.text import (
     tag_value,
 )
 from inventrace.operators.gather import lookup
-from inventrace.sources.landed import items
+from inventrace.sources.landed import by_key, items
 from inventrace.specs.model import PROVENANCE, Raw, ResourceSpec
 
 TAGS = "array<struct<Key: string, Value: string>>"
 SCOPE = ["account_id", "region"]
+#: How many images of a repository are looked at for tags.
+SHOWN_IMAGES = 5
 
 
 def os_details(platform: Column, details: Column, image_description: Column) -> Column:
@@ -211,7 +213,7 @@ def flatten_eks(raw: Raw) -> DataFrame:
     base = items(raw["clusters"], "").select(
         "account_id", "account_name", "region", d["cluster"].alias("d"), d["cluster"]["name"].alias("_name")
     )
-    addons = items(raw["addons"], "").select(*SCOPE, d["clusterName"].alias("_name"), d["addons"].alias("_addons"))
+    addons = by_key(raw["addons"], F.col("doc.clusterName"), "_name", lists={"_addons": F.col("doc.addons")})
     joined = base.join(addons, [*SCOPE, "_name"], "left")
     return joined.select(
         F.col("_name").alias("cluster_name"),
@@ -263,12 +265,13 @@ def flatten_ecr(raw: Raw) -> DataFrame:
     base = items(raw["repositories"], "repositories").withColumn("_name", d["repositoryName"])
     key = [*SCOPE, "_name"]
 
-    def detail(name: str, value: Column) -> DataFrame:
-        return items(raw[name], "").select(*SCOPE, d["repositoryName"].alias("_name"), value)
-
-    sizes = detail("statistics", F.get(d["repositoryStatistics"], F.lit(0))["repositorySizeInBytes"].alias("_size"))
-    images = detail("images", F.slice(d["imageIds"], 1, 5).alias("_images"))
-    tags = detail("tags", tag_value(d["tags"], "BusinessAppID", names=("key", "value")).alias("_app"))
+    name = F.col("doc.repositoryName")
+    size = F.get("doc.repositoryStatistics", F.lit(0))["repositorySizeInBytes"]
+    sizes = by_key(raw["statistics"], name, "_name", first={"_size": size})
+    images = by_key(raw["images"], name, "_name", lists={"_all": F.col("doc.imageIds")})
+    images = images.select(*key, F.slice("_all", 1, SHOWN_IMAGES).alias("_images"))
+    tags = by_key(raw["tags"], name, "_name", lists={"_tags": F.col("doc.tags")})
+    tags = tags.select(*key, tag_value(F.col("_tags"), "BusinessAppID", names=("key", "value")).alias("_app"))
     joined = base.join(sizes, key, "left").join(images, key, "left").join(tags, key, "left")
     tagged = F.filter(F.transform("_images", lambda i: i["imageTag"]), lambda t: t.isNotNull())
     return joined.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inventrace.functions.dates import utc_text
+from inventrace.functions.dates import utc_naive, utc_text
 from inventrace.functions.text import (
     MISSING,
     clip,
@@ -156,9 +156,9 @@ def flatten_s3(raw: Raw) -> DataFrame:
             *SCOPE,
             d["Bucket"].alias("_name"),
             d["StorageType"].alias("StorageType"),
-            d["Timestamp"].alias("Timestamp"),
+            utc_naive(d["Timestamp"]).alias("Timestamp"),
             d["Maximum"].alias("Maximum"),
-            d["RunTime"].alias("_run"),
+            utc_naive(d["RunTime"]).alias("_run"),
         )
         sizes = bucket_capacity(points, F.col("_run"))
         capacity = human_bytes(F.coalesce("_bytes", F.lit(0)))
@@ -225,7 +225,7 @@ S3 = ResourceSpec(
             "ServerSideEncryptionConfiguration struct<Rules: array<string>>"
         ),
         "metrics": (
-            "Bucket string, StorageType string, Timestamp timestamp_ntz, Maximum double, RunTime timestamp_ntz"
+            "Bucket string, StorageType string, Timestamp string, Maximum double, RunTime string"
         ),
     },
     optional_raw=("metrics",),
@@ -286,18 +286,18 @@ GLUE = ResourceSpec(
     flatten=flatten_glue,
 )
 
-RECENT_QUERIES = 50
-
 _EXECUTION = (
     "QueryExecutionId: string, Query: string, QueryExecutionContext: struct<Database: string>, "
     "Statistics: struct<TotalExecutionTimeInMillis: bigint>, "
-    "Status: struct<State: string, SubmissionDateTime: timestamp_ntz>, WorkGroup: string"
+    "Status: struct<State: string, SubmissionDateTime: string>, WorkGroup: string"
 )
 
 
-def _recent(df: DataFrame, when: Column, query_id: Column) -> DataFrame:
-    """The newest queries of each account and region; equal times go by id."""
-    return newest(df, SCOPE, [when.desc_nulls_last(), query_id], RECENT_QUERIES)
+def _recent(df: DataFrame, when: Column, query_id: Column, newest_queries: int | None) -> DataFrame:
+    """The newest queries of each account and region, all without a limit; equal times go by id."""
+    if newest_queries is None:
+        return df
+    return newest(df, SCOPE, [utc_naive(when).desc_nulls_last(), query_id], newest_queries)
 
 
 def _query_row(x: Column, query_id: Column, query: Column, database: Column, owner: Column) -> list[Column]:
@@ -317,10 +317,11 @@ def _query_row(x: Column, query_id: Column, query: Column, database: Column, own
     ]
 
 
-def flatten_athena(raw: Raw) -> DataFrame:
+def flatten_athena(raw: Raw, newest_queries: int | None = None) -> DataFrame:
+    """Queries; ``newest_queries`` keeps so many of each account and region (earlier loaders kept 50)."""
     d = F.col("d")
     base = items(raw["executions"], "").select("account_id", "account_name", "region", d["QueryExecution"].alias("d"))
-    kept = _recent(base, d["Status"]["SubmissionDateTime"], d["QueryExecutionId"])
+    kept = _recent(base, d["Status"]["SubmissionDateTime"], d["QueryExecutionId"], newest_queries)
     return kept.select(
         *_query_row(
             d,
@@ -332,13 +333,13 @@ def flatten_athena(raw: Raw) -> DataFrame:
     )
 
 
-def flatten_tax(raw: Raw) -> DataFrame:
-    """Listed query ids with their details; a listed id without details keeps defaults."""
+def flatten_tax(raw: Raw, newest_queries: int | None = None) -> DataFrame:
+    """Listed query ids with their details; a listed id without details keeps defaults. ``newest_queries`` as for athena."""
     d, x = F.col("d"), F.col("x")
     listed = items(raw["listed"], "QueryExecutions").select(
         "account_id", "account_name", "region", d["QueryExecutionId"].alias("_id"), d["SubmissionDateTime"].alias("_at")
     )
-    kept = _recent(listed, F.col("_at"), F.col("_id"))
+    kept = _recent(listed, F.col("_at"), F.col("_id"), newest_queries)
     details = items(raw["executions"], "").select(
         *SCOPE, d["QueryExecution"]["QueryExecutionId"].alias("_id"), d["QueryExecution"].alias("x")
     )
@@ -382,7 +383,7 @@ TAX = ResourceSpec(
     key=("query_id",),
     resource_id="query_id",
     raw={
-        "listed": "QueryExecutions array<struct<QueryExecutionId: string, SubmissionDateTime: timestamp_ntz>>",
+        "listed": "QueryExecutions array<struct<QueryExecutionId: string, SubmissionDateTime: string>>",
         "executions": f"QueryExecution struct<{_EXECUTION}>",
     },
     flatten=flatten_tax,

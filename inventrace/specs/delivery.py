@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inventrace.functions.dates import micros_text
+from inventrace.functions.dates import micros_text, utc_naive
 from inventrace.functions.text import (
     MISSING,
     clip,
@@ -17,11 +17,13 @@ from inventrace.functions.text import (
     or_default_blank,
 )
 from inventrace.operators.rollup import ageing, compliance, distinct_prefixes
-from inventrace.sources.landed import items
+from inventrace.sources.landed import by_key, items
 from inventrace.specs.model import PROVENANCE, Raw, ResourceSpec
 
 TAGS = "array<struct<Key: string, Value: string>>"
 SCOPE = ["account_id", "region"]
+#: Of a pipeline, how many of its newest runs count and how many source revisions are shown.
+RECENT_RUNS, SHOWN_REVISIONS = 5, 3
 
 
 def _scope_columns() -> list[Column]:
@@ -38,7 +40,7 @@ def flatten_cloudformation(raw: Raw) -> DataFrame:
     return live.select(
         d["StackName"].alias("stack_name"),
         clip(or_default(d["StackStatus"]), 50).alias("stack_status"),
-        d["CreationTime"].alias("creation_time"),
+        utc_naive(d["CreationTime"]).alias("creation_time"),
         clip(or_default_blank(d["Description"]), 500).alias("description"),
         clip(join_or(d["Capabilities"]), 255).alias("capabilities"),
         *_scope_columns(),
@@ -58,7 +60,7 @@ CLOUDFORMATION = ResourceSpec(
     comparators={"capabilities": "comma_trimmed"},
     raw={
         "stacks": (
-            "Stacks array<struct<StackName: string, StackStatus: string, CreationTime: timestamp_ntz, "
+            "Stacks array<struct<StackName: string, StackStatus: string, CreationTime: string, "
             f"Description: string, Capabilities: array<string>, Tags: {TAGS}>>"
         )
     },
@@ -149,13 +151,13 @@ def flatten_stepfunctions(raw: Raw) -> DataFrame:
     base = items(raw["state_machines"], "stateMachines").withColumn("_arn", d["stateMachineArn"])
     key = [*SCOPE, "_arn"]
 
-    def detail(name: str, *cols: Column) -> DataFrame:
-        return items(raw[name], "").select(*SCOPE, d["stateMachineArn"].alias("_arn"), *cols)
-
-    details = detail("details", or_default(d["roleArn"]).alias("_role"))
-    versions = detail("versions", count_of(d["stateMachineVersions"]).alias("_versions"))
-    names = F.transform(d["executions"], lambda e: e["name"])
-    runs = detail("executions", distinct_prefixes(names).alias("_triggers"))
+    arn = F.col("doc.stateMachineArn")
+    details = by_key(raw["details"], arn, "_arn", first={"_role": or_default(F.col("doc.roleArn"))})
+    versions = by_key(raw["versions"], arn, "_arn", lists={"_list": F.col("doc.stateMachineVersions")})
+    versions = versions.select(*key, count_of(F.col("_list")).alias("_versions"))
+    names = F.transform("doc.executions", lambda e: e["name"])
+    runs = by_key(raw["executions"], arn, "_arn", lists={"_list": names})
+    runs = runs.select(*key, distinct_prefixes(F.col("_list")).alias("_triggers"))
     joined = base.join(details, key, "left").join(versions, key, "left").join(runs, key, "left")
     found = F.col("_role").isNotNull()
     role = F.when(F.col("_role") != MISSING, last_segment(F.col("_role"), "/"))
@@ -198,11 +200,8 @@ STEPFUNCTIONS = ResourceSpec(
 def flatten_codepipeline(raw: Raw) -> DataFrame:
     d, runs, last = F.col("d"), F.col("_runs"), F.col("_last")
     base = items(raw["listed"], "pipelines").withColumn("_name", d["name"])
-    summaries = items(raw["executions"], "").select(
-        *SCOPE,
-        d["pipelineName"].alias("_name"),
-        F.coalesce(F.slice(d["pipelineExecutionSummaries"], 1, 5), F.array()).alias("_runs"),
-    )
+    listed = by_key(raw["executions"], F.col("doc.pipelineName"), "_name", lists={"_all": F.col("doc.pipelineExecutionSummaries")})
+    summaries = listed.select(*SCOPE, "_name", F.slice("_all", 1, RECENT_RUNS).alias("_runs"))
     joined = base.join(summaries, [*SCOPE, "_name"], "left").withColumn("_last", F.get("_runs", F.lit(0)))
     revisions = F.transform(
         last["sourceRevisions"],
@@ -216,7 +215,7 @@ def flatten_codepipeline(raw: Raw) -> DataFrame:
     return joined.select(
         F.col("_name").alias("pipeline_name"),
         clip(status, 100).alias("last_execution_status"),
-        clip(join_or(revisions, first=3), 500).alias("latest_source_revisions"),
+        clip(join_or(revisions, first=SHOWN_REVISIONS), 500).alias("latest_source_revisions"),
         micros_text(last["startTime"]).alias("last_execution_started"),
         count_of(runs).alias("recent_executions"),
         *_scope_columns(),
@@ -328,10 +327,9 @@ def flatten_kms(raw: Raw) -> DataFrame:
     own = items(raw["keys"], "").where(d["KeyMetadata"]["KeyManager"] == "CUSTOMER")
     base = own.select("account_id", "account_name", "region", d["KeyMetadata"].alias("d")).withColumn("_id", d["KeyId"])
     key = [*SCOPE, "_id"]
-    aliases = items(raw["aliases"], "").select(
-        *SCOPE, d["KeyId"].alias("_id"), ids(d["Aliases"], "AliasName").alias("_aliases")
-    )
-    tags = items(raw["tags"], "").select(*SCOPE, d["KeyId"].alias("_id"), d["Tags"].alias("_tags"))
+    key_id = F.col("doc.KeyId")
+    aliases = by_key(raw["aliases"], key_id, "_id", lists={"_aliases": ids(F.col("doc.Aliases"), "AliasName")})
+    tags = by_key(raw["tags"], key_id, "_id", lists={"_tags": F.col("doc.Tags")})
     spec = or_default(d["KeySpec"], "SYMMETRIC_DEFAULT")
     return base.join(aliases, key, "left").join(tags, key, "left").select(
         F.col("_id").alias("key_id"),
