@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,13 +25,13 @@ SPAN, Q = 50, 18
 SIDE = (SPAN - Q) // 2
 _WIDTH = SPAN - Q + 1
 #: Runs that a task gathers before it sends them, and bytes of text that it looks at together.
-FLUSH_RUNS, LOOK_BYTES = 1 << 20, 1 << 20
+FLUSH_RUNS, LOOK_BYTES = 1 << 19, 1 << 20
 #: A bucket with more open runs than this (in a task: LOCAL_CROWD) is compared string by string, spread over all tasks.
-CROWD, LOCAL_CROWD = 2048, 64
+CROWD, LOCAL_CROWD = 16_384, 2048
 #: Strings of crowded runs of which a task remembers the smallest document so far.
 KNOWN_STRINGS = 200_000
 #: Bytes of runs that are refined together.
-REFINE_BYTES = 8 << 20
+REFINE_BYTES = 2 << 20
 
 _R = np.uint64(0x9E3779B97F4A7C15)
 _R_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -58,7 +59,7 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     strings that are equal agree on one of the two at least.
     """
     n = len(data)
-    empty = {k: np.zeros(0, t) for k, t in (("text", np.int64), ("ordinal", np.uint32), ("first", np.int64), ("last", np.int64), ("bucket", np.uint64), ("digest", np.uint64), ("left", np.uint8), ("right", np.uint8))}
+    empty = {k: np.zeros(0, t) for k, t in (("text", np.int64), ("ordinal", np.uint32), ("first", np.int64), ("last", np.int64), ("bucket", np.uint64), ("digest", np.uint64), ("left", np.uint16), ("right", np.uint16))}
     if n < SPAN:
         return empty
     power, inverse = _power_tables(n + 1)
@@ -83,7 +84,7 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     text = of[first].astype(np.int64)
     ordinal = np.arange(len(new)) - np.searchsorted(text, text, "left")
     digest = _mix(part(first, last + SPAN) + (at - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + (last - first).astype(np.uint64) * np.uint64(0x165667B19E3779F9), 0xA0761D6478BD642F)
-    side = lambda a, b, there: np.where(there, 1 + (_mix(part(a, b), 0xE7037ED1A0B428DB) >> np.uint64(32)) % np.uint64(255), 0).astype(np.uint8)
+    side = lambda a, b, there: np.where(there, 1 + (_mix(part(a, b), 0xE7037ED1A0B428DB) >> np.uint64(32)) % np.uint64(0xFFFF), 0).astype(np.uint16)
     has_left, has_right = at - first >= SIDE, last + SPAN >= at + Q + SIDE
     return {
         "text": text,
@@ -114,7 +115,7 @@ def _all_runs(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 # --- first step: runs meet by bucket --------------------------------------------------------------------------------
 
 _SENT = "part long, doc bigint, body bigint, block binary, done binary, open binary, crowd binary"
-_COLUMNS = (("bucket", 6), ("digest", 6), ("left", 1), ("right", 1), ("ordinal", 4))
+_COLUMNS = (("bucket", 6), ("digest", 6), ("left", 2), ("right", 2), ("ordinal", 4))
 
 
 def _planes(values: np.ndarray, size: int) -> bytes:
@@ -265,7 +266,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def done() -> Iterator[pa.RecordBatch]:
         got = [_unpack(b) for b in blocks]
-        t = {k: np.concatenate([g[k] for g in got]) for k in got[0]}
+        t = {k: np.concatenate([g.pop(k) for g in got]) for k in list(got[0])}
         out = _answers(part, t["doc"], t["body"], t["ordinal"], settle(t))
         if out is not None:
             yield out
@@ -288,21 +289,43 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # --- second step: open runs are refined -----------------------------------------------------------------------------
 
+_PACKED = "doc long, body long, size long, packed binary"
 _OPENED = "kind int, key long, doc long, body long, first long, bytes binary, spans binary"
 
 
+def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes: they are dealt out twice, and travel at less than half their size."""
+    press = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc"), batch.column("body"), pa.array([len(t) for t in texts], pa.int64()), pa.array([press.compress(t) for t in texts], pa.binary())],
+            ["doc", "body", "size", "packed"],
+        )
+
+
+def _ranges(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in row ranges with about LOOK_BYTES of text each."""
+    ends, start = np.cumsum(batch.column("size").to_numpy(zero_copy_only=False)), 0
+    while start < len(ends):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + LOOK_BYTES, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _marked(lists: pa.Array, row: int) -> np.ndarray:
     value = lists[row].as_py()
     return np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in value])) if value else np.zeros(0, np.uint32)
 
 
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with runs that are told of: their text with the repeated spans (kind 0), the bytes of open runs (1), of the strings of
+    """Of documents with runs that are told of: the repeated spans (kind 0), the bytes of open runs (1), of the strings of
     crowded runs (2). Strings of crowded runs that the task has met in a smaller document are repeated and do not go on."""
     single: dict[bytes, int] = {}
+    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
-        for some in slices(batch, limit=LOOK_BYTES):
-            data, offsets = flat(some.column("text"))
+        for some in _ranges(batch):
+            data, offsets = flat(pa.array([unpack.decompress(t) for t in some.column("packed").to_pylist()], pa.large_binary()))
             got = _all_runs(data, offsets)
             bounds = np.searchsorted(got["text"], np.arange(len(some) + 1))
             docs, bodies = some.column("doc").to_pylist(), some.column("body").to_pylist()
@@ -326,7 +349,11 @@ def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             single[string] = docs[r]
                             key = int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little", signed=True)
                             out.append((2, key, docs[r], bodies[r], s, string, None))
-                out.append((0, 0, docs[r], bodies[r], 0, raw, np.concatenate(spans[r]).astype("<i8").tobytes()))
+                known = merge_spans(np.concatenate(spans[r]))
+                if len(known):
+                    out.append((0, 0, docs[r], bodies[r], 0, None, known.astype("<i8").tobytes()))
+            if not out:
+                continue
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, ["kind", "key", "doc", "body", "first", "bytes", "spans"])
@@ -424,10 +451,12 @@ def merge_spans(spans: np.ndarray) -> np.ndarray:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         out = []
-        for doc, body, raw, own, more in zip(*(batch.column(c).to_pylist() for c in ("doc", "body", "bytes", "spans", "more")), strict=True):
-            spans = merge_spans(np.frombuffer(b"".join([own, *(more or [])]), "<i8").reshape(-1, 2))
+        for doc, body, packed, found in zip(*(batch.column(c).to_pylist() for c in ("doc", "body", "packed", "spans")), strict=True):
+            raw = unpack.decompress(packed)
+            spans = merge_spans(np.frombuffer(b"".join(found), "<i8").reshape(-1, 2))
             kept, at = hashlib.sha256(), 0
             for a, b in spans.tolist():
                 kept.update(raw[at:a])
@@ -456,13 +485,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sent = rows.mapInArrow(_send(parts), _SENT)
     told = stored(sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_meet, _SENT).select("doc", "body", "done", "open", "crowd"), "told")
     asked = told.groupBy("doc", "body").agg(*[F.collect_list(c).alias(c) for c in ("done", "open", "crowd")])
-    with_text = rows.withColumnsRenamed({"doc": "d", "body": "b"}).join(asked, (F.col("d") == F.col("doc")) & (F.col("b") == F.col("body"))).select("doc", "body", "text", "done", "open", "crowd")
-    opened = stored(with_text.mapInArrow(_open, _OPENED), "opened")
+    texts = rows.mapInArrow(_pack_texts, _PACKED).withColumnsRenamed({"doc": "d", "body": "b"})
+    same = (F.col("d") == F.col("doc")) & (F.col("b") == F.col("body"))
+    opened = stored(texts.join(asked, same).select("doc", "body", "size", "packed", "done", "open", "crowd").mapInArrow(_open, _OPENED), "opened")
     strings = opened.filter("kind > 0").select("key", "doc", "body", "first", "bytes")
-    found = strings.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_refine_all, _FOUND)
-    found = found.groupBy("doc", "body").agg(F.collect_list("spans").alias("more")).withColumnsRenamed({"doc": "d", "body": "b"})
-    texts = opened.filter("kind = 0").select("doc", "body", "bytes", "spans")
-    cut = texts.join(found, (F.col("d") == F.col("doc")) & (F.col("b") == F.col("body")), "left").select("doc", "body", "bytes", "spans", "more").mapInArrow(_cut, _RESULT)
+    refined = strings.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_refine_all, _FOUND)
+    found = opened.filter("kind = 0").select("doc", "body", "spans").unionByName(refined)
+    found = found.groupBy("doc", "body").agg(F.collect_list("spans").alias("spans"))
+    cut = texts.join(found, same).select("doc", "body", "packed", "spans").mapInArrow(_cut, _RESULT)
     cut = stored(cut, "cut").dropDuplicates(["doc", "body"]).withColumnsRenamed({"doc": "d", "body": "b"})
     whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("doc"), F.xxhash64(key, text).alias("body"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
     joined = whole.join(cut, (F.col("d") == F.col("doc")) & (F.col("b") == F.col("body")), "left")

@@ -64,13 +64,16 @@ def test_crowded_buckets_give_the_same_spans(monkeypatch, crowd, local):
         for k in lists:
             if r[k] is not None:
                 lists[k].append(r[k])
-    rows = [{"doc": d, "body": hash(t) & 0xFFFFFFF, "text": t, **told[d, hash(t) & 0xFFFFFFF]} for d, t in docs if (d, hash(t) & 0xFFFFFFF) in told]
-    schema = pa.schema([("doc", pa.int64()), ("body", pa.int64()), ("text", pa.string()), *((c, pa.list_(pa.binary())) for c in ("done", "open", "crowd"))])
+    texts = pa.Table.from_batches(list(suffix._pack_texts(iter([table(docs)])))).to_pylist()
+    rows = [{**t, **told[t["doc"], t["body"]]} for t in texts if (t["doc"], t["body"]) in told]
+    lists = [(c, pa.list_(pa.binary())) for c in ("done", "open", "crowd")]
+    schema = pa.schema([("doc", pa.int64()), ("body", pa.int64()), ("size", pa.int64()), ("packed", pa.binary()), *lists])
     opened = pa.Table.from_batches(list(suffix._open(iter(pa.Table.from_pylist(rows, schema).to_batches()))))
     assert 2 in opened.column("kind").to_pylist()
     strings = opened.filter(pa.compute.greater(opened.column("kind"), 0)).sort_by("key")
     spans: dict = {}
-    for r in pa.Table.from_batches([*suffix._refine_all(iter(strings.to_batches())), pa.RecordBatch.from_pylist([], pa.schema([("doc", pa.int64()), ("body", pa.int64()), ("spans", pa.binary())]))]).to_pylist() + opened.filter(pa.compute.equal(opened.column("kind"), 0)).to_pylist():
+    refined = [r for b in suffix._refine_all(iter(strings.to_batches())) for r in b.to_pylist()]
+    for r in refined + opened.filter(pa.compute.equal(opened.column("kind"), 0)).to_pylist():
         spans.setdefault((r["doc"], r["body"]), []).append(r["spans"])
     for (d, t), hit in zip(docs, brute.covered([(d, t.encode()) for d, t in docs]), strict=True):
         own = np.zeros(len(t.encode()), bool)
@@ -104,10 +107,10 @@ def test_long_texts_are_looked_at_in_pieces(monkeypatch):
 def test_suffix_takes_odd_and_no_rows(odd, empty):
     got = suffix.repeated_spans(odd).collect()
     assert len(got) == len(ROWS)
-    check([r for r in got if r.n_bytes < 1000], [(r[0] if r[0] is not None else None, r[1]) for r in ROWS if len(r[1] or "") < 1000] if False else _short())
+    assert sorted(r.n_bytes for r in got) == sorted(len((r[1] or "").encode()) for r in ROWS)
+    low = [(-(1 << 63) if r[0] is None else r[0], r[1]) for r in ROWS if len(r[1] or "") < 1000]  # a null id is below all others
+    short = [r for r in got if r.n_bytes < 1000]
+    removed = sorted(int(hit.sum()) for hit in brute.covered([(d, (t or "").encode()) for d, t in low]))
+    assert sorted(r.n_removed for r in short) == removed
     assert suffix.repeated_spans(empty).count() == 0
 
-
-def _short():
-    """Rows of the odd table whose bytes brute force can take; a null id is below all others, so it comes as it is."""
-    return [(r[0], r[1]) for r in ROWS if len(r[1] or "") < 1000]
