@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -26,14 +27,24 @@ STEP, LEAST, ROUNDS = 5, 6, 9
 MEMO_WORDS, MEMO_BYTES = 400_000, 48
 
 _MAGIC = b"RPS1"
-_PUNCTUATION = b".,;:!?"
+_PUNCTUATION = string.punctuation.replace("'", "")
+#: Letters below this code point are their own NFC form and have lower-case forms of their own.
+_PLAIN_LETTERS = "\u0250"
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable ones stand for themselves, the others follow from 256."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
 class WordTokenizer:
     """A tokenizer of the tokenizers library whose rules never look over ASCII white space, with a memo of words.
 
-    Every text is split at white space; words that the memo lacks go to the library. An all-ASCII word is looked up in lower case
-    and without punctuation at its end, which such a tokenizer separates anyway.
+    Every text is split at white space. A word of plain letters, with or without punctuation at its end, is one piece of such a tokenizer
+    in lower case and one of the punctuation: the letters go straight to the library's merge model. All other words go
+    through the whole tokenizer.
     """
 
     def __init__(self, definition: str):
@@ -42,6 +53,7 @@ class WordTokenizer:
 
         self.library = Tokenizer.from_str(definition)
         self.memo: dict[bytes, bytes] = {}
+        self.letters = byte_letters()
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         split = [t.split() for t in texts]
@@ -63,25 +75,31 @@ class WordTokenizer:
         return ids
 
     def _words(self, new: set[bytes]) -> dict[bytes, bytes]:
-        parts, ask = {}, set()
+        got: dict[bytes, bytes] = {}
+        cut: dict[bytes, tuple[bytes, bytes]] = {}
+        ask: set[bytes] = set()
+        memo, merge, letters = self.memo, self.library.model.tokenize, self.letters
         for w in new:
-            cut = [w]
-            if w.isascii():
-                low = w.lower()
-                core = low.rstrip(_PUNCTUATION)
-                if core and core.isalpha():
-                    cut = [core, low[len(core) :]] if len(core) < len(low) else [core]
-            parts[w] = cut
-            ask.update(p for p in cut if p not in self.memo)
+            low = w.decode().lower()
+            core = low.rstrip(_PUNCTUATION)
+            if not core.isalpha() or max(core) >= _PLAIN_LETTERS:
+                ask.add(w)
+                continue
+            end, own = low[len(core) :].encode(), core.encode()
+            if own not in memo and own not in got:
+                got[own] = array("I", [t.id for t in merge(core if core.isascii() else own.decode("latin-1").translate(letters))]).tobytes()
+            if end and end not in memo:
+                ask.add(end)
+            if w != own:
+                cut[w] = own, end
         asked = list(ask)
-        got: dict[bytes, bytes] = {}
         for at in range(0, len(asked), 4096):
             some = asked[at : at + 4096]
             for w, e in zip(some, self.library.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
                 got[w] = array("I", e.ids).tobytes()
-        for w, cut in parts.items():
-            if cut != [w]:
-                got[w] = b"".join([got[p] if p in got else self.memo[p] for p in cut])
+        get = lambda w: got[w] if w in got else memo[w]
+        for w, (own, end) in cut.items():
+            got[w] = get(own) + get(end) if end else get(own)
         return got
 
 

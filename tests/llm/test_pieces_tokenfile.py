@@ -90,6 +90,7 @@ def test_words_of_the_tokenizer_are_those_of_the_library():
         own = tokenfile.WordTokenizer(f.read())
     library = Tokenizer.from_file(WORDS)
     texts = odd_texts(1500, "ab'sTé.,́ Σİ1\n\x85😀<|>\x1c") + ["<|endoftext|> x", "a<|endoftext|>b", "it's IT'S we'll...", "", "x" * 5000]
+    texts += odd_texts(1500, "aBéÑßŁđǅŉſ.,%%!?*#|'1 ɐ", 5) + [chr(c) + "a " + chr(c).upper() + "." for c in range(0x80, 0x260)]
     got = own.encode([t.encode() for t in texts])
     assert [list(x) for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
