@@ -24,17 +24,20 @@ CONTROL = ["_action", "_copies", "_changes"]
 def last_per_key(df: DataFrame, key: list[str], order: list[str], copies: str | None = None) -> DataFrame:
     """One row per key: the greatest by ``order``, remaining columns as tie-break.
 
-    ``max_by`` combines before the shuffle, so a key with many copies is reduced where it is read.
+    The row travels once, as the struct that is compared, and is combined before the shuffle, so a key with many copies is
+    reduced where it is read. Maps are compared as their entries.
     """
-    rest = [c for c in df.columns if c not in key]
     types = dict(df.dtypes)
-    ties = [c for c in rest if c not in order and not types[c].startswith("map")]
-    rank = F.struct(*[F.col(c) for c in [*order, *ties]]) if rest else F.lit(1)
-    aggs = [F.max_by(F.struct(*rest), rank).alias("_row")]
+    rest = [c for c in df.columns if c not in key]
+    maps = [c for c in rest if types[c].startswith("map")]
+    ranked = [*order, *[c for c in rest if c not in order and c not in maps], *maps]
+    fields = [F.map_entries(c).alias(c) if c in maps else F.col(c) for c in ranked]
+    aggs = [F.max(F.struct(*fields)).alias("_row")] if fields else []
     if copies:
         aggs.append(F.count(F.lit(1)).alias(copies))
-    picked = df.groupBy(*key).agg(*aggs)
-    return picked.select(*key, "_row.*", *([copies] if copies else []))
+    picked = df.groupBy(*key).agg(*aggs) if aggs else df.select(*key).distinct()
+    whole = [F.map_from_entries(F.col(f"_row.{c}")).alias(c) if c in maps else F.col(f"_row.{c}").alias(c) for c in rest]
+    return picked.select(*key, *whole, *([copies] if copies else []))
 
 
 def compare(

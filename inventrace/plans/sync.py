@@ -142,9 +142,12 @@ class Sync:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def events_for(self, spec: ResourceSpec) -> DataFrame:
-        """Events attribution can use: the days around the run, or all where there is no time bound."""
+        """Events attribution can use: the days around the run; where there is no time bound, also all of the resource's type."""
         if spec.latest_lookup:
-            return audit_log.read_events(self.spark, self.events_path)
+            day = F.expr("INTERVAL 1 DAY")
+            near = F.col("event_time").between(self.run_ts - day, self.run_ts + day)
+            own = F.upper("resource_type") == spec.service_type
+            return audit_log.read_events(self.spark, self.events_path).where(near | own)
         day_before = F.lit((self.run_time - timedelta(days=1)).strftime("%Y-%m-%d")).cast("timestamp_ntz")
         return audit_log.read_events(self.spark, self.events_path, day_before)
 

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from checks.audit import pages, payload
 from checks.base import run_ts
 from checks.catalog import CHECKS
 from checks.state import OWNED, audit_events, mapping, order_snapshot, order_state
 from inventrace.operators import attribution, upsert
+from inventrace.plans import audit_log
+from inventrace.sources import landed
 
 SF = "/root/testdata/sf0.001"
 NEVER = ["CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "PythonRDD", "MapInPandas", "FlatMapGroups"]
@@ -45,3 +49,16 @@ def test_run_anchor_reaches_the_event_scan(spark):
 def test_top_n_is_limited_before_the_shuffle(spark, name):
     text = plan(CHECKS[name].query(spark, SF))
     assert text.count("WindowGroupLimit") == 2
+
+
+def test_each_event_is_parsed_once(spark):
+    """Filters above the parse are not pushed below it with a copy of the parse each."""
+    events = audit_log.events_from_pages(pages(spark, SF, payload()), run_ts())
+    assert plan(events).count("from_json(StructField(eventID") == 1
+
+
+def test_details_in_several_pages_are_one_row(spark):
+    rows = [("a", "r", 2, "k", ["c"]), ("a", "r", 1, "k", ["a", "b"]), ("a", "r", 1, "other", None), ("b", "r", None, "k", ["x"])]
+    flat = spark.createDataFrame(rows, "account_id string, region string, page int, k string, v array<string>")
+    found = landed.by_key(flat.select("account_id", "region", "page", F.struct("k", "v").alias("doc")), F.col("doc.k"), "k", lists={"v": F.col("doc.v")})
+    assert {(r.account_id, r.k): r.v for r in found.collect()} == {("a", "k"): ["a", "b", "c"], ("a", "other"): [], ("b", "k"): ["x"]}
