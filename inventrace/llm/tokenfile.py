@@ -8,15 +8,15 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inventrace.llm.common import slices, stored
+from inventrace.llm.common import flat, per_text, slices, stored, word_starts
 
 END_ID = 2
 #: A shard is closed when it has this many ids.
@@ -27,11 +27,53 @@ STEP, LEAST, ROUNDS = 5, 6, 9
 MEMO_WORDS, MEMO_BYTES = 400_000, 48
 
 _MAGIC = b"RPS1"
+_ID = attrgetter("id")
 _PUNCTUATION = string.punctuation.replace("'", "")
 #: Letters below this code point are their own NFC form and have lower-case forms of their own.
 _PLAIN_LETTERS = "\u0250"
 
 
+_OTHER, _LETTER, _SIGN = 0, 1, 2
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(string.ascii_letters.encode())] = _LETTER
+_KIND[list(_PUNCTUATION.encode())] = _SIGN
+#: Letters of two bytes whose first is LEAD, by their second: U+00C0 to U+00FF without the signs for times and divided by.
+_LEAD = 0xC3
+_LATIN = np.zeros(256, bool)
+_LATIN[[b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = True
+
+
+def split_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(pieces of the texts in order, number of pieces of each text).
+
+    A word of letters with or without punctuation at its end gives the letters, in lower case, and the punctuation; any other word is
+    one piece as it stands.
+    """
+    sep, start = word_starts(data, offsets)
+    kind = _KIND[data]
+    lead = np.flatnonzero(data[:-1] == _LEAD)
+    lead = lead[_LATIN[data[lead + 1]]]
+    kind[lead] = kind[lead + 1] = _LETTER
+    letter, sign = kind == _LETTER, kind == _SIGN
+    bad = (kind == _OTHER) & ~sep
+    bad |= start & sign
+    bad[1:] |= letter[1:] & sign[:-1] & ~start[1:]
+    first = np.flatnonzero(start)
+    total = np.concatenate([[0], np.cumsum(bad, dtype=np.int64)])
+    bounds = np.append(first, len(data))
+    plain = np.zeros(len(data), bool)
+    plain[bounds[0] :] = np.repeat(total[bounds[1:]] == total[bounds[:-1]], np.diff(bounds))
+    low = data.copy()
+    low[(data >= 0x41) & (data <= 0x5A) & plain] += 0x20
+    second = lead[plain[lead]] + 1
+    low[second[data[second] < 0x9F]] += 0x20
+    start[1:] |= plain[1:] & sign[1:] & letter[:-1]
+    solid = ~sep
+    own = low[solid]
+    ends = np.append(np.cumsum(solid, dtype=np.int64)[start] - 1, len(own))
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(own)]), per_text(start, offsets)
+
+
 def byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in byte-level vocabularies: printable ones stand for themselves, the others follow from 256."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -44,7 +86,8 @@ class WordTokenizer:
 
     Every text is split at white space. A word of plain letters, with or without punctuation at its end, is one piece of such a tokenizer
     in lower case and one of the punctuation: the letters go straight to the library's merge model. All other words go
-    through the whole tokenizer.
+    through the whole tokenizer. The memo has two halves: when the young one is full it becomes the old one, and words that are
+    still in use move back.
     """
 
     def __init__(self, definition: str):
@@ -52,33 +95,55 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(definition)
-        self.memo: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.letters = byte_letters()
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [t.split() for t in texts]
-        memo = self.memo
-        new = {w for words in split for w in words if w not in memo}
-        found = self._words(new)
-        if len(memo) + len(found) > MEMO_WORDS:
-            for words in split:
-                found.update((w, memo[w]) for w in words if w in memo)
-            memo.clear()
-        memo.update(found)
-        ids = [np.frombuffer(b"".join([memo[w] for w in words]), "<u4") for words in split]
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        else:
-            for w in found:
-                if len(w) > MEMO_BYTES:
-                    memo.pop(w, None)
-        return ids
-
-    def _words(self, new: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of each text."""
+        ids, offsets = self.encode_flat(pa.array(texts, pa.large_binary()))
+        return np.split(ids, offsets[1:-1]) if texts else []
+
+    def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, n + 1 offsets); null counts as empty. Only distinct pieces are looked up."""
+        data, offsets = flat(texts)
+        words, per = split_pieces(data, offsets)
+        words = words.dictionary_encode()
+        found = self._look_up(words.dictionary.to_pylist())
+        pool = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begin = np.cumsum(size) - size
+        use = words.indices.to_numpy(zero_copy_only=False)
+        sizes = size[use]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = pool[np.repeat(begin[use] - ends[:-1], sizes) + np.arange(ends[-1])]
+        return ids, ends[np.concatenate([[0], np.cumsum(per)])]
+
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of some distinct words."""
+        young, old = self.young, self.old
+        new = []
+        for w in words:
+            if w not in young:
+                if w in old:
+                    young[w] = old[w]
+                else:
+                    new.append(w)
+        learned = self._words(new)
+        young.update(learned)
+        found = [young[w] for w in words]
+        for w in learned:
+            if len(w) > MEMO_BYTES:
+                del young[w]
+        if len(young) > MEMO_WORDS // 2:
+            self.young, self.old = {}, young
+        return found
+
+    def _words(self, new: list[bytes]) -> dict[bytes, bytes]:
         got: dict[bytes, bytes] = {}
         cut: dict[bytes, tuple[bytes, bytes]] = {}
         ask: set[bytes] = set()
-        memo, merge, letters = self.memo, self.library.model.tokenize, self.letters
+        young, old, merge, letters = self.young, self.old, self.library.model.tokenize, self.letters
         for w in new:
             low = w.decode().lower()
             core = low.rstrip(_PUNCTUATION)
@@ -86,9 +151,9 @@ class WordTokenizer:
                 ask.add(w)
                 continue
             end, own = low[len(core) :].encode(), core.encode()
-            if own not in memo and own not in got:
-                got[own] = array("I", [t.id for t in merge(core if core.isascii() else own.decode("latin-1").translate(letters))]).tobytes()
-            if end and end not in memo:
+            if own not in got and own not in young and own not in old:
+                got[own] = array("I", map(_ID, merge(core if core.isascii() else own.decode("latin-1").translate(letters)))).tobytes()
+            if end and end not in young and end not in old:
                 ask.add(end)
             if w != own:
                 cut[w] = own, end
@@ -97,7 +162,7 @@ class WordTokenizer:
             some = asked[at : at + 4096]
             for w, e in zip(some, self.library.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
                 got[w] = array("I", e.ids).tobytes()
-        get = lambda w: got[w] if w in got else memo[w]
+        get = lambda w: got[w] if w in got else young[w] if w in young else old[w]
         for w, (own, end) in cut.items():
             got[w] = get(own) + get(end) if end else get(own)
         return got
@@ -120,6 +185,16 @@ def _apart(where: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return np.flatnonzero(even & (again | ~touch[:n] | (rank < left)) & (~touch[1:] | (rank <= right)))
 
 
+def _counted(seq: np.ndarray, slot: np.ndarray, full: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, their counts, places, pair at each place) of the slots with at least ``least`` places; a pair fills no more than its slot."""
+    ok = np.append(full >= least, False)  # the last one is for slot -1
+    at = np.flatnonzero(ok[slot])
+    keys = seq[at] << 32 | seq[at + 1]
+    ordered = np.sort(keys)
+    cut = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+    return ordered[cut], np.diff(np.append(cut, len(ordered))), at, keys
+
+
 def repair(ids: np.ndarray, heads: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, heads, rules): pairs replaced by nonterminals base, base + 1, ... whose rules are pairs of earlier symbols.
 
@@ -131,16 +206,15 @@ def repair(ids: np.ndarray, heads: np.ndarray, base: int) -> tuple[np.ndarray, n
         if len(seq) < 2:
             break
         slot = _slot(seq[:-1], seq[1:])
-        can = (np.bincount(slot, minlength=1 << 20) >= LEAST)[slot] & ~heads[1:]
-        at = np.flatnonzero(can)
-        keys = seq[at] << 32 | seq[at + 1]
-        ordered = np.sort(keys)
-        cut = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
-        counts = np.diff(np.append(cut, len(ordered)))
+        slot[heads[1:]] = -1
+        full = np.bincount(slot[slot >= 0], minlength=1 << 20)
+        pairs, counts, at, keys = _counted(seq, slot, full, max(LEAST, full.max() // STEP))
+        if len(counts) and counts.max() < full.max():  # the fullest slot holds several pairs: the bar is lower than it told
+            pairs, counts, at, keys = _counted(seq, slot, full, max(LEAST, counts.max() // STEP))
         if not len(counts) or counts.max() < LEAST:
             break
         often = counts >= max(LEAST, counts.max() // STEP)
-        pairs, often = ordered[cut[often]], counts[often]
+        pairs, often = pairs[often], counts[often]
         order = np.argsort(-often, kind="stable")
         pairs = pairs[order]
         table = np.full(1 << 20, -1, np.int32)
@@ -230,7 +304,20 @@ class Shard:
         return cls(base, rules, lengths, symbols, named, take("<u8", n_docs + 1), take("<u8", n_docs + 1))
 
     def ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.base)
+        """All ids: each rule is expanded once, and its expansion copied to wherever its nonterminal stands."""
+        pool = expand(self.base + np.arange(len(self.rules)), self.rules, self.base)
+        begin = np.cumsum(self.lengths) - self.lengths
+        where = np.flatnonzero(self.symbols >= self.base)
+        rule = self.symbols[where] - self.base
+        size = np.ones(len(self.symbols), np.int64)
+        size[where] = self.lengths[rule]
+        ends = np.cumsum(size)
+        out = np.repeat(self.symbols, size)
+        long = size[where]
+        past = np.cumsum(long)
+        inside = np.arange(past[-1] if len(past) else 0) - np.repeat(past - long, long)
+        out[np.repeat(ends[where] - long, long) + inside] = pool[np.repeat(begin[rule], long) + inside]
+        return out
 
     def document(self, k: int) -> np.ndarray:
         """Ids of the k-th document; only its own symbols are expanded."""
@@ -274,14 +361,15 @@ def write_shards(docs: DataFrame, definition: str, id_col: str = "doc_id", text_
         names: list[int | None] = []
         ids: list[np.ndarray] = []
         size = seq = 0
-        end = np.array([end_id], "<u4")
         for batch in batches:
-            for some in slices(batch, limit=1 << 20):
-                found = tokenizer.encode(pc.fill_null(some.column("text").cast(pa.binary()), b"").to_pylist())
-                for name, own in zip(some.column("doc_id").to_pylist(), found, strict=True):
+            for some in slices(batch):
+                found, offsets = tokenizer.encode_flat(some.column("text"))
+                found = np.insert(found, offsets[1:], end_id)
+                offsets = (offsets + np.arange(len(offsets))).tolist()
+                for name, a, b in zip(some.column("doc_id").to_pylist(), offsets[:-1], offsets[1:], strict=True):
                     names.append(name)
-                    ids.append(np.concatenate([own, end]))
-                    size += len(own) + 1
+                    ids.append(found[a:b])
+                    size += b - a
                     if size >= shard_ids:
                         yield _shard(part, seq, size, names, ids)
                         names, ids, size, seq = [], [], 0, seq + 1
