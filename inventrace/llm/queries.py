@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inventrace.llm import chat, exact, lines, mixing, pieces, quality, rules, simhash, suffix, tokenfile
+from inventrace.llm import chat, exact, lines, mixing, negatives, pieces, quality, rules, simhash, suffix, tokenfile, whitening
 from inventrace.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,19 @@ ORACLE_SQL["op10_exact_dedup"] = f"""
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
 FROM (SELECT doc_id, {_LOWER} AS t FROM documents) WINDOW g AS (PARTITION BY t)
 """
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector against all vectors, one label in seven moved on by one."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four leading whitened components of every vector."""
+    found = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    deviation = F.expr("try_cast(deviation AS bigint)").alias("deviation")
+    return found.select("row.vec_id", "component", "n", deviation, "whitened", "explained", "identity_error")
