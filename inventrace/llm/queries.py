@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inventrace.llm import chat, exact, lines, mixing, negatives, pieces, quality, rules, simhash, suffix, tokenfile, whitening
-from inventrace.llm.common import documents
+from inventrace.llm import chat, exact, lines, mixing, negatives, packing, pieces, quality, rules, simhash, suffix, tokenfile, whitening
+from inventrace.llm.common import documents, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -173,6 +173,17 @@ FROM (SELECT doc_id, {_LOWER} AS t FROM documents) WINDOW g AS (PARTITION BY t)
 """
 
 
+@query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2048 ids, and the checksum of each piece's ids."""
+    with open(public_tokenizers.path("byte_bpe_50k.json")) as f:
+        definition = f.read()
+    pieces_ = stored(packing.tokenize(documents(spark, sf_dir).select("doc_id", "text"), definition), "pieces")
+    # Ranks need no ids, so only their checksums are shuffled.
+    placed = packing.place(pieces_.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return placed.select("row.doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every fiftieth vector against all vectors, one label in seven moved on by one."""
