@@ -23,7 +23,7 @@ from inventrace.llm.common import stored
 from inventrace.llm.vectors import gridded, lists, matrix, norms, products
 
 #: Vectors from which split points are chosen, at most (a documented bound: the sample only shapes the tree).
-SAMPLE = 8192
+SAMPLE = 4096
 #: Split points of one node, and vectors of one leaf, about.
 FAN, LEAF_ROWS = 16, 2048
 #: Rows of a block of a leaf; a leaf larger than the sample foretold has several.
@@ -228,8 +228,8 @@ def build(rows: DataFrame, size: int, keep: int, leaf_rows: int = LEAF_ROWS, sam
     total = classes.count()
     if not total or not size:
         return None
-    picked = classes.select("x").orderBy(F.xxhash64("x"), "x").limit(sample).collect()
-    tree, n_leaves = grow(np.array([r["x"] for r in picked], np.int64).reshape(len(picked), size), -(-total // leaf_rows), fan)
+    picked = classes.select("x").orderBy(F.xxhash64("x"), "x").limit(sample).toArrow()
+    tree, n_leaves = grow(matrix(picked.column("x").combine_chunks(), size), -(-total // leaf_rows), fan)
     for r in _ranges(classes, tree, size).collect():
         node = tree[r["node"]]
         if r["i"] < 0:

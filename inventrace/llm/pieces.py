@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -12,13 +14,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inventrace.llm.common import SLICE_BYTES, slices
+from inventrace.llm.common import SLICE_BYTES, flat, per_text, slices
 
 SPACE = "▁"
-#: Words whose ids a task remembers from batch to batch, and the longest of them in characters.
-MEMO_WORDS, MEMO_CHARS = 200_000, 64
-#: Pairs of pieces of which a task remembers whether they stay apart.
-KNOWN_PAIRS = 1_000_000
+#: Words whose ids a task remembers from slice to slice (some 200 bytes each), and the longest of them in bytes.
+MEMO_WORDS, MEMO_BYTES = 150_000, 64
+#: Pairs of pieces of which a worker remembers whether they stay apart (some 100 bytes each).
+KNOWN_PAIRS = 300_000
+#: Ids that are decoded at a time.
+SLICE_IDS = 1 << 19
+#: ASCII signs; what stands behind a letter.
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_BEHIND_LETTER = re.compile(r"(?<=[^\W\d_])(.)", re.DOTALL)
 #: Below the lowest score by this much: an unknown character in a unigram model.
 UNKNOWN_PENALTY = 10.0
 
@@ -88,19 +95,78 @@ class PieceModel:
         self.raw = [b"" if k == CONTROL else b" \xe2\x81\x87 " if k == UNKNOWN else bytes([int(n[3:5], 16)]) if k == BYTE else n.replace(SPACE, " ").encode() for n, k in zip(self.names, kinds, strict=True)]
         if any(SPACE in n.lstrip(SPACE) for n in self.ids):
             raise ValueError("pieces that go over a word's end are not read")
-        alone = "\n" if not any("\n" in n for n in self.ids if len(n) > 1) else ""
-        self.cut = re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" + (f"|{alone}" if alone else ""))
-        self.reach: dict[str, int] = {}  # length of the longest piece that ends with these two characters
-        for n in self.ids:
-            self.reach[n[-2:]] = max(self.reach.get(n[-2:], 1), len(n))
+        self.line_alone = not any("\n" in n for n in self.ids if len(n) > 1)
+        # Signs that no piece has behind a letter begin a word of their own, as in "word###".
+        behind = {m[1] for n in self.ids for m in _BEHIND_LETTER.finditer(n)}
+        self.apart = np.zeros(256, bool)
+        self.apart[[ord(c) for c in _SIGNS if c not in behind]] = True
+        self._automaton()
+        self.pool, self.pool_ends = np.frombuffer(b"".join(self.raw), np.uint8), np.cumsum([0, *map(len, self.raw)])
         self.known: dict[int, bool] = {}
 
+    def _automaton(self) -> None:
+        """Pieces as a trie with failure links: from the state of a prefix, all pieces that end there, longest first.
+
+        ``step`` leads from a state by a character, ``fail`` to the state of the longest proper suffix, ``shorter`` to the nearest suffix that is
+        a piece (0: none). ``piece`` and ``depth`` are a state's piece (-1: none) and length.
+        """
+        self.step: dict[int, int] = {}
+        self.piece, self.depth = [-1], [0]
+        parents = [(0, 0)]
+        for name, i in self.ids.items():
+            state = 0
+            for c in map(ord, name):
+                key = state << 21 | c
+                if key not in self.step:
+                    self.step[key] = len(self.piece)
+                    self.piece.append(-1)
+                    self.depth.append(self.depth[state] + 1)
+                    parents.append((state, c))
+                state = self.step[key]
+            self.piece[state] = i
+        self.fail, self.shorter = [0] * len(self.piece), [0] * len(self.piece)
+        for state in sorted(range(1, len(self.piece)), key=self.depth.__getitem__):
+            before, c = parents[state]
+            at = self.fail[before]
+            while at and at << 21 | c not in self.step:
+                at = self.fail[at]
+            if before:
+                self.fail[state] = self.step.get(at << 21 | c, 0)
+            own = self.fail[state]
+            self.shorter[state] = own if self.piece[own] >= 0 else self.shorter[own]
+
+    def cuts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """(words of all texts one after the other as UTF-8 with plain spaces, words per text).
+
+        No piece goes over a word's end, so each is encoded by itself: spaces begin a word, a line end is one alone unless pieces hold it, and
+        signs that no piece has behind a letter begin one behind ASCII and accented letters.
+        """
+        data, offsets = flat(texts)
+        if SPACE.encode() in data.tobytes():  # a mark in the text counts as a space
+            data, offsets = flat(pc.replace_substring(texts.cast(pa.string()), SPACE, " "))
+        if self.dummy_prefix:
+            filled = np.diff(offsets) > 0
+            data = np.insert(data, offsets[:-1][filled], 0x20)
+            offsets = offsets + np.concatenate([[0], np.cumsum(filled)])
+        start = data == 0x20
+        if len(data):
+            low = data | 0x20
+            letter = (low >= 0x61) & (low <= 0x7A) & (data < 0x80)
+            letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+            start[1:] &= ~start[:-1]
+            start[1:] |= letter[:-1] & self.apart[data[1:]]
+            if self.line_alone:
+                line = data == 0x0A
+                start |= line
+                start[1:] |= line[:-1]
+        start[offsets[:-1][np.diff(offsets) > 0]] = True
+        begin = np.append(np.flatnonzero(start), len(data))
+        words = pa.Array.from_buffers(pa.large_binary(), len(begin) - 1, [None, pa.py_buffer(begin), pa.py_buffer(np.ascontiguousarray(data))])
+        return words, per_text(start, offsets)
+
     def words(self, text: str) -> list[str]:
-        """The marked words of a text: no piece goes over their ends, so each is encoded by itself."""
-        if not text:
-            return []
-        marked = text.replace(" ", SPACE)
-        return self.cut.findall(SPACE + marked if self.dummy_prefix else marked)
+        """The marked words of a text."""
+        return [_marked(w) for w in self.cuts(pa.array([text]))[0].to_pylist()]
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merging by score leaves of a text: best score first, then leftmost."""
@@ -133,8 +199,9 @@ class PieceModel:
         models the best score. In a BPE model the pieces of a prefix are the only chain of vocabulary pieces in which
         each neighbouring pair stays as it is under merging, so one entry is enough there too.
         """
-        ids, reach, scores, bpe, known = self.ids, self.reach, self.scores, self.kind == BPE, self.known
-        last, begin, total = [-1], [0], [0.0]
+        scores, bpe, known, fits = self.scores, self.kind == BPE, self.known, self.fits
+        step, fail, shorter, piece, depth = self.step, self.fail, self.shorter, self.piece, self.depth
+        last, begin, total, states = [-1], [0], [0.0], [0]
         out, previous = {}, ""
         for word in sorted(words):
             common = 0
@@ -142,23 +209,39 @@ class PieceModel:
                 if a != b:
                     break
                 common += 1
-            del last[common + 1 :], begin[common + 1 :], total[common + 1 :]
-            for end in range(common + 1, len(word) + 1):
-                best, start, score = -1, end - 1, total[end - 1] + self.low
-                for at in range(max(0, end - reach.get(word[end - 2 : end] if end > 1 else word[:1], 1)), end):
-                    i = ids.get(word[at:end])
-                    if i is None:
-                        continue
-                    if bpe:
+            del last[common + 1 :], begin[common + 1 :], total[common + 1 :], states[common + 1 :]
+            state, end = states[-1], common
+            for c in map(ord, word[common:]):
+                end += 1
+                after = step.get(state << 21 | c)
+                while after is None:
+                    if not state:
+                        after = 0
+                        break
+                    state = fail[state]
+                    after = step.get(state << 21 | c)
+                state = after
+                best, start, score = -1, end - 1, 0.0
+                own = state if piece[state] >= 0 else shorter[state]
+                if bpe:
+                    while own:
+                        at, i = end - depth[own], piece[own]
                         stays = known.get(last[at] << 32 | i)
-                        if self.fits(last[at], i) if stays is None else stays:
+                        if fits(last[at], i) if stays is None else stays:
                             best, start = i, at
                             break
-                    elif total[at] + scores[i] > score or best < 0 and at == end - 1:
-                        best, start, score = i, at, total[at] + scores[i]
+                        own = shorter[own]
+                else:
+                    score = total[-1] + self.low
+                    while own:
+                        at, i = end - depth[own], piece[own]
+                        if total[at] + scores[i] > score or best < 0 and at == end - 1:
+                            best, start, score = i, at, total[at] + scores[i]
+                        own = shorter[own]
                 last.append(best)
                 begin.append(start)
                 total.append(score)
+                states.append(state)
             found, end = [], len(word)
             while end:
                 if last[end] >= 0:
@@ -168,53 +251,84 @@ class PieceModel:
                 else:
                     found.append(self.unknown)
                 end = begin[end]
-            out[word] = np.array(found[::-1], "<i4").tobytes()
+            found.reverse()
+            out[word] = array("i", found).tobytes()
             previous = word
         return out
 
-    def encode(self, texts: list[str], memo: dict[str, bytes]) -> list[np.ndarray]:
-        """Ids of each text; ``memo`` keeps words between calls."""
-        split = [self.words(t) for t in texts]
-        new = {w for words in split for w in words if w not in memo}
-        found = self.encode_words(list(new))
-        if len(memo) + len(found) > MEMO_WORDS:
-            kept = {w: memo[w] for words in split for w in words if w in memo}
+    def encode_flat(self, texts: pa.Array, memo: dict[bytes, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, n + 1 offsets); null counts as empty. ``memo`` keeps words between calls."""
+        words, per = self.cuts(texts)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = {w: _marked(w) for w in distinct if w not in memo}
+        found = self.encode_words(list(new.values()))
+        ids = [memo[w] if w in memo else found[new[w]] for w in distinct]
+        pool = np.frombuffer(b"".join(ids), "<i4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(size) - size
+        use = coded.indices.to_numpy(zero_copy_only=False)
+        sizes = size[use]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        flat_ids = pool[np.repeat(first[use] - ends[:-1], sizes) + np.arange(ends[-1])]
+        ends = ends[np.concatenate([[0], np.cumsum(per)])]
+        if len(memo) + len(new) > MEMO_WORDS:  # words that are still in use stay
+            kept = {w: memo[w] for w in distinct if w in memo}
             memo.clear()
-            found |= kept
-        look = memo | found if len(memo) < len(found) else found
-        if look is found:
-            get = lambda w: found.get(w) or memo[w]
-        else:
-            get = look.__getitem__
-        ids = [np.frombuffer(b"".join(map(get, words)), "<i4") for words in split]
+            memo.update(kept)
         room = MEMO_WORDS - len(memo)
-        memo.update((w, v) for w, v in list(found.items())[:room] if len(w) <= MEMO_CHARS)
-        return ids if self.bytes_ else [self._one_unknown(x) for x in ids]
+        memo.update((w, found[m]) for w, m in islice(new.items(), max(room, 0)) if len(w) <= MEMO_BYTES)
+        return (flat_ids, ends) if self.bytes_ else self._one_unknown(flat_ids, ends)
+
+    def encode(self, texts: list[str], memo: dict[bytes, bytes]) -> list[np.ndarray]:
+        """Ids of each text."""
+        ids, ends = self.encode_flat(pa.array(texts, pa.string()), memo)
+        return np.split(ids, ends[1:-1]) if texts else []
 
-    def _one_unknown(self, ids: np.ndarray) -> np.ndarray:
-        """Neighbouring unknowns count as one, as in models without byte pieces."""
+    def _one_unknown(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Neighbouring unknowns of a text count as one, as in models without byte pieces."""
         again = np.zeros(len(ids), bool)
         again[1:] = (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)
-        return ids[~again]
+        again[ends[:-1][np.diff(ends) > 0]] = False
+        return ids[~again], ends - np.concatenate([[0], np.cumsum(again)])[ends]
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
+    def decode_flat(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The text of each range of ids, as UTF-8."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.raw)):
+            raise ValueError("ids outside the model")
+        size = np.diff(self.pool_ends)[ids]
+        at = np.concatenate([[0], np.cumsum(size)])
+        data = self.pool[np.repeat(self.pool_ends[:-1][ids] - at[:-1], size) + np.arange(at[-1])].tobytes()
+        try:
+            data.decode()
+        except UnicodeDecodeError:  # byte pieces that are no text: replaced as the library does it
+            return [self.decode(ids[a:b]).encode() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        cut = at[ends].tolist()
+        texts = [data[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        return [t[1:] if t[:1] == b" " else t for t in texts] if self.dummy_prefix else texts
+
+
+def _marked(word: bytes) -> str:
+    return word.decode().replace(" ", SPACE)
+
 
 def read_model(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
 
 
-_LOADED: dict[bytes, tuple[PieceModel, dict[str, bytes]]] = {}
+_LOADED: dict[bytes, PieceModel] = {}
 
 
-def _loaded(data: bytes) -> tuple[PieceModel, dict[str, bytes]]:
-    """The model and its memo of words; a worker process keeps the last one from task to task."""
+def _loaded(data: bytes) -> PieceModel:
+    """The model; a worker process keeps the last one, with the pairs it knows, from task to task. Words are kept for one task."""
     if data not in _LOADED:
         _LOADED.clear()
-        _LOADED[data] = PieceModel(data), {}
+        _LOADED[data] = PieceModel(data)
     return _LOADED[data]
 
 
@@ -225,37 +339,48 @@ def _row_type(df: DataFrame, column: str) -> str:
 def encode(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
     """row (all columns of ``docs``) and ids (array<int>) of every whole text; null texts have null ids, empty texts none.
 
-    The model file (some 100 KB, whatever the data) is sent to the tasks once; a task holds one slice of texts and a bounded
+    Equal texts have equal ids, repeated rows each theirs; an empty table gives no rows. Columns of ``docs`` may have any names. The model file
+    (some 100 KB, whatever the data) is sent to the tasks once; a task holds one slice of texts and a bounded
     memo of words. Nothing is shuffled.
     """
     packed = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, memo = _loaded(packed.value)
+        pieces, memo = _loaded(packed.value), {}
         for batch in batches:
-            for part in slices(batch, "__text", SLICE_BYTES // 2):
+            for part in slices(batch, "__text", SLICE_BYTES):
                 texts = part.column("__text")
-                found = pieces.encode(pc.fill_null(texts, "").to_pylist(), memo)
-                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)), mask=texts.is_null())
+                found, ends = pieces.encode_flat(texts, memo)
+                ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found), mask=texts.is_null())
                 yield pa.RecordBatch.from_arrays([part.column("row"), ids], ["row", "ids"])
 
     rows = docs.select(F.col(text_col).cast("string").alias("__text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     return rows.mapInArrow(run, f"row {_row_type(rows, 'row')}, ids array<int>")
 
 
-def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids") -> DataFrame:
-    """``encoded`` with the text of the ids as last column ``decoded``; null ids give null. Ids outside the model fail."""
+def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
+    """``encoded`` with the text of the ids as last column ``name``; null ids give null, no ids the empty text. Ids outside the model fail.
+
+    Repeated rows each get theirs; an empty table gives no rows. A column of that name in ``encoded`` is an error.
+    """
+    if name in encoded.columns:
+        raise ValueError(f"the rows have a column {name!r} already")
     packed = encoded.sparkSession.sparkContext.broadcast(model)
-    names = [c for c in encoded.columns if c != "decoded"]
+    names = encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, _ = _loaded(packed.value)
+        pieces = _loaded(packed.value)
         for batch in batches:
-            ids = batch.column(ids_col)
-            flat, ends = np.asarray(ids.values), np.asarray(ids.offsets)
-            texts = [pieces.decode(flat[a:b]) if ok else None for a, b, ok in zip(ends[:-1], ends[1:], ids.is_valid().to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())], [*names, "decoded"])
+            sizes = pc.fill_null(pc.list_value_length(batch.column(ids_col)), 0).to_numpy(zero_copy_only=False)
+            total, start = np.cumsum(sizes), 0
+            while start < len(total):
+                stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + SLICE_IDS, "right")))
+                part = batch.slice(start, stop - start)
+                ids = part.column(ids_col)
+                texts = pieces.decode_flat(ids.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes[start:stop])]))
+                text = pa.array(texts, pa.binary(), mask=ids.is_null().to_numpy(zero_copy_only=False)).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, text], [*names, name])
+                start = stop
 
     kinds = ", ".join(f"`{c}` {_row_type(encoded, c)}" for c in names)
-    return encoded.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, f"{kinds}, decoded string")
+    return encoded.mapInArrow(run, f"{kinds}, `{name}` string")

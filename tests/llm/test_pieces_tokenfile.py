@@ -130,3 +130,32 @@ def test_a_null_text_is_the_end_id(spark):
     with open(WORDS) as f:
         got = tokenfile.round_trip(frame(spark, [(1, None)]), f.read()).collect()
     assert [(r.doc_id, r.start, r.n_tokens) for r in got] == [(1, 0, 1)]
+
+
+def test_words_are_cut_where_no_piece_goes(model):
+    text = "mot### été,*** don't (a) x1,b2  ##a\n\n漢字, ×, é×"
+    words = model.words(text)
+    assert "".join(words) == "▁" + text.replace(" ", "▁") and {"###", "\n"} <= set(words)
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    assert [i for w in words for i in np.frombuffer(model.encode_words([w])[w], "<i4")] == sp.encode(text)
+
+
+def test_memo_may_overflow(model, monkeypatch):
+    monkeypatch.setattr(pieces, "MEMO_WORDS", 7)
+    monkeypatch.setattr(pieces, "KNOWN_PAIRS", 5)
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    memo = {}
+    for k in range(6):
+        texts = [f"word{chr(97 + j + k)} of, the {chr(97 + j)} x" for j in range(9)]
+        assert [x.tolist() for x in model.encode(texts, memo)] == [sp.encode(t) for t in texts]
+        assert len(memo) <= 7 + 40
+
+
+def test_bytes_that_are_no_text(spark, model):
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rows = [(1, [model.bytes_[0xC3]]), (2, [model.bytes_[0xC3], model.bytes_[0xA9]]), (3, []), (4, None), (5, sp.encode("a b"))]
+    df = spark.createDataFrame(rows, "id long, ids array<int>")
+    got = {r.id: r.decoded for r in pieces.decode(df, pieces.read_model(MODEL)).collect()}
+    assert got == {1: sp.decode(rows[0][1]), 2: "é", 3: "", 4: None, 5: "a b"}
+    with pytest.raises(ValueError):
+        pieces.decode(df, pieces.read_model(MODEL), name="id")
