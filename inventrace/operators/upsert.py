@@ -7,6 +7,8 @@ and counters cannot disagree.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,13 +43,14 @@ def last_per_key(df: DataFrame, key: list[str], order: list[str], copies: str |
 
 
 def compare(
-    spec: ResourceSpec, snapshot: DataFrame, state: DataFrame, run_ts: Column, state_is_unique: bool = True
+    spec: ResourceSpec, snapshot: DataFrame, state: DataFrame, run_ts: Column, state_is_unique: bool = True, added: Collection[str] = ()
 ) -> DataFrame:
     """Full outer comparison. Output: the new state row, ``last_updated`` and the control columns.
 
     ``_action`` is ``insert``, ``update`` (a compared column differs), ``touch`` (matched and equal)
     or ``carry`` (stored only; there are no deletes). ``_copies`` counts the snapshot rows behind the
-    row and ``_changes`` lists differing cells as (field_name, old_value, new_value) texts.
+    row and ``_changes`` lists differing cells as (field_name, old_value, new_value) texts. Columns that are ``added`` since the state
+    was written have no old value: they are filled in and never count as a change.
     """
     key = list(spec.key)
     names = spec.column_names
@@ -68,6 +71,8 @@ def compare(
     old_types = {f.name: f.dataType for f in state.schema.fields}
 
     def differs(c: str) -> Column:
+        if c in added:
+            return F.lit(False)
         same = COMPARATORS[spec.comparators.get(c, "text")]
         return matched & ~same(F.col(f"o_{c}"), F.col(f"n_{c}"), old_types[c], new_types[c])
 
@@ -83,7 +88,7 @@ def compare(
     )
 
     def merged(c: str) -> Column:
-        take_new = ~has_old | F.col(f"d_{c}") if c in spec.compared else ~has_old
+        take_new = has_new if c in added else ~has_old | F.col(f"d_{c}") if c in spec.compared else ~has_old
         return F.when(take_new, F.col(f"n_{c}")).otherwise(F.col(f"o_{c}")).alias(c)
 
     cells = [

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inventrace.functions import audit
 from inventrace.session import fixed_rows
-from inventrace.sources.landed import path_exists
+from inventrace.sources.landed import corrupt_lines, path_exists
 from inventrace.specs.audit_values import EVENT_SOURCES, kept_event_names
 
 LOOK_BACK_DAYS = 10
@@ -71,6 +71,12 @@ def polled_events(pages: DataFrame) -> DataFrame:
     return typed.select("account_id", F.when(F.col("broken"), F.col("payload")).alias("payload"), "broken", "important", event.alias("event"))
 
 
+def rejected_events(pages: DataFrame, polled: DataFrame) -> DataFrame:
+    """(dataset, account_id, content) of lines that were cut off and of payloads that are no events."""
+    broken = polled.where("broken").select(F.lit("events").alias("dataset"), "account_id", F.col("payload").alias("content"))
+    return corrupt_lines(pages).select(F.lit("events").alias("dataset"), "account_id", "content").unionByName(broken)
+
+
 def name_list(spark: SparkSession, names: list[str]) -> DataFrame:
     return fixed_rows(spark, [(n,) for n in names], "name")
 

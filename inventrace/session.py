@@ -51,19 +51,25 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 PARTITION_BYTES = 128 * 1024 * 1024
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
-    """Inside, shuffles start with partitions of about 128 MB of input; yields their number.
+def sized_shuffles(spark: SparkSession, input_bytes: int, exactly: int | None = None) -> Iterator[int]:
+    """Inside, shuffles start with partitions of about 128 MB of input, or with ``exactly`` so many; yields their number.
 
     AQE merges partitions that turn out small but never adds any, so a fixed ``spark.sql.shuffle.partitions``
     would give a large table partitions that do not fit in memory. The session's own number is the minimum, and
     the session has its own setting back afterwards.
     """
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // PARTITION_BYTES))
+    wanted = exactly or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // PARTITION_BYTES))
     before = spark.conf.get(key, None)
     spark.conf.set(key, str(wanted))
     try:

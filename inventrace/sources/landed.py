@@ -7,6 +7,7 @@ Layout: ``<root>/<service>/<dataset>/dt=<date>/*.json``, each line
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,21 +17,50 @@ from inventrace.specs.model import Raw, ResourceSpec
 ENVELOPE = "account_id string, account_name string, region string, page int"
 
 
-def read_dataset(spark: SparkSession, path: str, doc: str, run_date: str | None = None) -> DataFrame:
-    """Pages of one dataset; lines that are not valid JSON become rows with a null ``doc``."""
-    schema = f"{ENVELOPE}, doc struct<{doc}>, _corrupt string"
-    df = spark.read.schema(schema + ", dt string").option("columnNameOfCorruptRecord", "_corrupt").json(path)
+def read_dataset(spark: SparkSession, path: str, doc: str, run_date: str | None = None, files: Iterable[str] | None = None) -> DataFrame:
+    """Pages of one dataset; lines that are not valid JSON become rows with a null ``doc``.
+
+    ``files`` names the files to read (below ``path``); without it all of ``run_date``, or of every date, are read.
+    """
+    schema = f"{ENVELOPE}, doc struct<{doc}>, _corrupt string, dt string"
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_corrupt")
+    if files is not None:
+        names = [f"{path}/{f}" for f in files]
+        return reader.option("basePath", path).json(names) if names else spark.createDataFrame([], schema)
+    df = reader.json(path)
     return df.where(F.col("dt") == run_date) if run_date else df
 
 
-def read_raw(spark: SparkSession, root: str, spec: ResourceSpec, run_date: str | None = None) -> Raw:
-    """All datasets of a resource that are landed; optional ones may be missing."""
+def list_files(spark: SparkSession, path: str, dates: Iterable[str]) -> list[str]:
+    """The landed files of some dates, relative to the dataset's folder, sorted. A landed file is never written again."""
+    folders = [f"{path}/dt={d}" for d in dates]
+    there = [f for f in folders if path_exists(spark, f)]
+    if not there:
+        return []
+    found = [unquote(f) for f in spark.read.text(there).inputFiles()]
+    return sorted(f[f.rindex("/dt=") + 1 :] for f in found)
+
+
+def list_raw(spark: SparkSession, root: str, spec: ResourceSpec, run_date: str) -> list[str]:
+    """The landed files of one run of a resource, relative to the landing folder."""
+    out = []
+    for name in spec.raw:
+        folder = f"{root.rstrip('/')}/{spec.service}/{name}"
+        if name not in spec.optional_raw and not path_exists(spark, folder):
+            raise FileNotFoundError(f"no landed files at {folder}")
+        out += [f"{spec.service}/{name}/{f}" for f in list_files(spark, folder, [run_date])]
+    return out
+
+
+def read_raw(spark: SparkSession, root: str, spec: ResourceSpec, run_date: str | None = None, files: Iterable[str] | None = None) -> Raw:
+    """All datasets of a resource that are landed; optional ones may be missing. ``files`` are those of :func:`list_raw`."""
     raw = {}
     for name, doc in spec.raw.items():
         path = f"{root.rstrip('/')}/{spec.service}/{name}"
-        if name in spec.optional_raw and not path_exists(spark, path):
+        own = None if files is None else [f.split("/", 2)[2] for f in files if f.startswith(f"{spec.service}/{name}/")]
+        if name in spec.optional_raw and (not own if own is not None else not path_exists(spark, path)):
             continue
-        raw[name] = read_dataset(spark, path, doc, run_date)
+        raw[name] = read_dataset(spark, path, doc, run_date, own)
     return raw
 
 
