@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import struct
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import islice
 
 import numpy as np
@@ -22,7 +22,7 @@ MEMO_WORDS, MEMO_BYTES = 150_000, 64
 #: Pairs of pieces of which a worker remembers whether they stay apart (some 100 bytes each).
 KNOWN_PAIRS = 300_000
 #: Ids that are decoded at a time.
-SLICE_IDS = 1 << 19
+SLICE_IDS = 1 << 18
 #: ASCII signs; what stands behind a letter.
 _SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _BEHIND_LETTER = re.compile(r"(?<=[^\W\d_])(.)", re.DOTALL)
@@ -100,7 +100,7 @@ class PieceModel:
         behind = {m[1] for n in self.ids for m in _BEHIND_LETTER.finditer(n)}
         self.apart = np.zeros(256, bool)
         self.apart[[ord(c) for c in _SIGNS if c not in behind]] = True
-        self._automaton()
+        self.step: dict[int, int] = {}
         self.pool, self.pool_ends = np.frombuffer(b"".join(self.raw), np.uint8), np.cumsum([0, *map(len, self.raw)])
         self.known: dict[int, bool] = {}
 
@@ -108,9 +108,8 @@ class PieceModel:
         """Pieces as a trie with failure links: from the state of a prefix, all pieces that end there, longest first.
 
         ``step`` leads from a state by a character, ``fail`` to the state of the longest proper suffix, ``shorter`` to the nearest suffix that is
-        a piece (0: none). ``piece`` and ``depth`` are a state's piece (-1: none) and length.
+        a piece (0: none). ``piece`` and ``depth`` are a state's piece (-1: none) and length. Decoding does without.
         """
-        self.step: dict[int, int] = {}
         self.piece, self.depth = [-1], [0]
         parents = [(0, 0)]
         for name, i in self.ids.items():
@@ -199,6 +198,8 @@ class PieceModel:
         models the best score. In a BPE model the pieces of a prefix are the only chain of vocabulary pieces in which
         each neighbouring pair stays as it is under merging, so one entry is enough there too.
         """
+        if not self.step:
+            self._automaton()
         scores, bpe, known, fits = self.scores, self.kind == BPE, self.known, self.fits
         step, fail, shorter, piece, depth = self.step, self.fail, self.shorter, self.piece, self.depth
         last, begin, total, states = [-1], [0], [0.0], [0]
@@ -336,8 +337,8 @@ def _row_type(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def encode(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
-    """row (all columns of ``docs``) and ids (array<int>) of every whole text; null texts have null ids, empty texts none.
+def encode(docs: DataFrame, model: bytes, text_col: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+    """row (the columns ``keep`` of ``docs``, all by default) and ids (array<int>) of every whole text; null texts have null ids, empty texts none.
 
     Equal texts have equal ids, repeated rows each theirs; an empty table gives no rows. Columns of ``docs`` may have any names. The model file
     (some 100 KB, whatever the data) is sent to the tasks once; a task holds one slice of texts and a bounded
@@ -348,13 +349,13 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, memo = _loaded(packed.value), {}
         for batch in batches:
-            for part in slices(batch, "__text", SLICE_BYTES):
+            for part in slices(batch, "__text", SLICE_BYTES // 2):
                 texts = part.column("__text")
                 found, ends = pieces.encode_flat(texts, memo)
                 ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found), mask=texts.is_null())
                 yield pa.RecordBatch.from_arrays([part.column("row"), ids], ["row", "ids"])
 
-    rows = docs.select(F.col(text_col).cast("string").alias("__text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = docs.select(F.col(text_col).cast("string").alias("__text"), F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("row"))
     return rows.mapInArrow(run, f"row {_row_type(rows, 'row')}, ids array<int>")
 
 

@@ -129,7 +129,7 @@ FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text and the text that they decode to."""
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-    encoded = pieces.encode(documents(spark, sf_dir).select("doc_id", "text"), model).select("row.doc_id", "ids")
+    encoded = pieces.encode(documents(spark, sf_dir), model, keep=["doc_id"]).select("row.doc_id", "ids")
     return pieces.decode(encoded, model).select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), "decoded")
 
 
