@@ -39,7 +39,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document of the mix and the text that they decode to."""
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-    encoded = pieces.encode(docs.select("doc_id", "lang", "source", "text"), model).select("row.doc_id", "row.lang", "row.source", "ids")
+    encoded = pieces.encode(docs, model, keep=["doc_id", "lang", "source"]).select("row.doc_id", "row.lang", "row.source", "ids")
     return pieces.decode(encoded, model).select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), F.col("decoded").alias("text"))
 
 
