@@ -21,8 +21,8 @@ from inventrace.llm.bytetokens import ByteTokenizer
 from inventrace.llm.common import SLICE_BYTES, slices, stored
 
 WINDOW, END = 2048, 1
-#: Pieces that one rank window sorts, about.
-RANKED = 1 << 16
+#: Pieces of one length that one rank window sorts, about.
+RANKED = 1 << 10
 
 
 # --- the plan -------------------------------------------------------------------------------------------------------
@@ -151,16 +151,19 @@ def place(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     """``pieces`` (column length, at most ``window``) with sequence_id and offset there; sequences are gapless from offset 0.
 
     ``pieces`` is a stored table: its files and row numbers are the identity by which pieces of one length are ranked, so repeated rows
-    are pieces of their own and a lost task comes back with the same ranks. A length that most pieces have is ranked in many buckets. An empty table gives no rows.
+    are pieces of their own and a lost task comes back with the same ranks. A length that most pieces have is ranked in many buckets;
+    what is broadcast and collected has a row per length, so at most ``window`` rows. An empty table gives no rows.
     """
-    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    named = pieces.select("*", at.alias("_at"))
-    buckets = max(1, -(-pieces.count() // RANKED))
-    named = named.withColumn("_bucket", F.pmod(F.xxhash64("_at"), F.lit(buckets)).cast("int"))
-    counts = stored(pieces.select("length", at.alias("_at")).groupBy("length", F.pmod(F.xxhash64("_at"), F.lit(buckets)).cast("int").alias("_bucket")).count(), "lengths")
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
-    made = pieces.sparkSession.sparkContext.broadcast(plan(histogram, window))
+    spark, at = pieces.sparkSession, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    made = spark.sparkContext.broadcast(plan(histogram, window))
+    dealt = spark.createDataFrame([(n, -(-c // RANKED)) for n, c in histogram.items()], "length long, _buckets long")
 
+    def bucketed(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(dealt), "length").withColumn("_bucket", F.pmod(F.xxhash64("_at"), F.col("_buckets"))).drop("_buckets")
+
+    named = bucketed(pieces.select("*", at.alias("_at")))
+    counts = bucketed(pieces.select("length", at.alias("_at"))).groupBy("length", "_bucket").count()
     before = F.coalesce(F.sum("count").over(Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
     offsets = counts.select("length", "_bucket", before.alias("_before"))
     own = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("_at")) - 1
