@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,11 +14,12 @@ from checks.inventory import cat, lit, mixed_zones, obj
 from checks.state import ORDERS, ORDERS_SQL, order_snapshot, order_state
 from inventrace import session
 from inventrace.plans.sync import Sync
+from inventrace.sources.manifest import RunExpired
 from inventrace.sources.state import StateStore
 from inventrace.specs.registry import SPECS
 from inventrace.streaming import audit_stream
 from inventrace.plans import audit_log
-from checks.audit import AUDIT_SQL, pages, payload
+from checks.audit import AUDIT_SQL, as_audit, pages, payload
 
 DAYS = (datetime(2024, 1, 14, 12), datetime(2024, 1, 15, 12))
 
@@ -149,6 +151,163 @@ def history_retry_empty(spark: SparkSession, sf: str) -> DataFrame:
     return store.history().select("resource_id")
 
 
+#: Customers as topics (key, display name) on three days: a sixth is not there on each day, and some names change from day to day.
+RUNS = (datetime(2024, 1, 13, 12), datetime(2024, 1, 14, 12), datetime(2024, 1, 15, 12))
+TOPICS_SQL = """
+days AS (SELECT unnest([0, 1, 2]) AS d),
+topics AS (SELECT d, 'stack-' || c_custkey AS stack_name, 'a' || (c_custkey % 25) AS account_id,
+  CASE WHEN c_custkey % 10 < 3 THEN c_mktsegment || d ELSE c_mktsegment END AS status FROM customer, days WHERE c_custkey % 6 <> d),
+seen AS (SELECT *, lag(status) OVER k AS before, max(d) OVER (PARTITION BY stack_name) AS last FROM topics WINDOW k AS (PARTITION BY stack_name ORDER BY d))
+"""
+
+
+def land_topics(spark: SparkSession, sf: str, root: str) -> None:
+    """Customers as stacks, one landed folder a day; see TOPICS_SQL."""
+    key = F.col("c_custkey")
+    for d, day in enumerate(RUNS):
+        status = F.when(key % 10 < 3, F.concat(F.col("c_mktsegment"), lit(str(d)))).otherwise(F.col("c_mktsegment"))
+        stack = obj(StackName=cat("stack-", key), StackStatus=status)
+        _land(table(spark, sf, "customer").where(key % 6 != d), _page(cat("a", key % 25), lit("r1"), obj(Stacks=F.array(stack))), f"{root}/cloudformation/stacks/dt={day:%Y-%m-%d}")
+
+
+def topic_rows(store: StateStore) -> DataFrame:
+    """State and history of the stacks as one list of texts."""
+    state = store.read(SPECS["cloudformation"]).select(lit("state").alias("kind"), "stack_name", F.date_format("last_updated", "yyyy-MM-dd").alias("at"), lit("").alias("old_value"), F.col("stack_status").alias("value"))
+    history = store.history().select(lit("history").alias("kind"), F.col("resource_id").alias("stack_name"), F.col("run_id").alias("at"), "old_value", F.col("new_value").alias("value"))
+    return state.unionByName(history)
+
+
+_TOPIC_ROWS = """
+  SELECT 'state' AS kind, stack_name, strftime(DATE '2024-01-13' + CAST(d AS INTEGER), '%Y-%m-%d') AS at, '' AS old_value, status AS value FROM seen WHERE d = last
+  UNION ALL SELECT 'history', stack_name, strftime(DATE '2024-01-13' + CAST(d AS INTEGER), '%Y%m%dT120000'), before, status FROM seen WHERE before <> status
+"""
+
+
+@check(
+    "sync_retry",
+    f"""WITH {TOPICS_SQL}, r AS ({_TOPIC_ROWS})
+    SELECT k.keep, r.*, k.refused FROM r, (SELECT 1 AS keep, 1 AS refused UNION ALL SELECT 2, 0) AS k""",
+)
+def sync_retry(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs, each repeated at once, then all repeated again: state and history are those of the first tries.
+
+    With one version kept, the second run's start is gone by then, and its repeat is refused.
+    """
+    root, out, spec = session.scratch(spark, "retry"), [], ["cloudformation"]
+    land_topics(spark, sf, root)
+    for keep in (1, 2):
+        store, refused = f"{root}/store{keep}", 0
+        for day in RUNS:
+            first = Sync(spark, root, store, day, keep_versions=keep).run(spec).collect()
+            if Sync(spark, root, store, day, keep_versions=keep).run(spec).collect() != first:
+                raise ValueError("a repeated run counts differently")
+        for day in RUNS:
+            try:
+                Sync(spark, root, store, day, keep_versions=keep).run(spec)
+            except RunExpired:
+                refused += 1
+        out.append(topic_rows(StateStore(spark, store)).select(F.lit(keep).alias("keep"), "*", F.lit(refused).alias("refused")))
+    return out[0].unionByName(out[1])
+
+
+@check("state_delta", f"WITH {TOPICS_SQL} {_TOPIC_ROWS}")
+def state_delta(spark: SparkSession, sf: str) -> DataFrame:
+    """State read from a whole copy and the changes of two later runs."""
+    root = session.scratch(spark, "delta")
+    land_topics(spark, sf, root)
+    for day in RUNS:
+        Sync(spark, root, f"{root}/store", day).run(["cloudformation"])
+    return topic_rows(StateStore(spark, f"{root}/store"))
+
+
+@check(
+    "state_schema_change",
+    """SELECT 'stack-' || c_custkey AS stack_name, CASE WHEN c_custkey % 6 <> 2 THEN 'filled' END AS note,
+      (SELECT count(*) FROM customer WHERE c_custkey % 6 NOT IN (1, 2) AND c_custkey % 10 < 3) AS changes FROM customer WHERE c_custkey % 6 <> 1 OR c_custkey % 6 <> 2""",
+)
+def state_schema_change(spark: SparkSession, sf: str) -> DataFrame:
+    """A column that a later run adds is filled in where the resource is seen, and is no change of it."""
+    root, spec = session.scratch(spark, "schema"), SPECS["cloudformation"]
+    land_topics(spark, sf, root)
+    store = StateStore(spark, f"{root}/store")
+    Sync(spark, root, store.root, RUNS[1]).sync_resource(spec)
+    wider = replace(spec, columns=f"{spec.columns}, note string", flatten=lambda raw: spec.flatten(raw).withColumn("note", lit("filled")))
+    Sync(spark, root, store.root, RUNS[2]).sync_resource(wider)
+    changes = store.history().where("field_name <> 'note'").count() + 1_000_000 * store.history().where("field_name = 'note'").count()
+    return store.read(wider).select("stack_name", "note", F.lit(changes).cast("long").alias("changes"))
+
+
+LATE = datetime(2024, 1, 15, 12)
+#: Events by the day they were landed for; of those from before the last day, each third comes after that day's run.
+LATE_SQL = f"""{AUDIT_SQL},
+kept AS (SELECT *, date_trunc('second', ts) AS moment, ts < TIMESTAMP '2024-01-14' AND event_id % 3 = 0 AS late FROM au
+  WHERE event_type IN ('view', 'signup', 'purchase') AND ts >= TIMESTAMP '2024-01-12' AND ts < TIMESTAMP '2024-01-15 12:00:00')
+"""
+
+
+def _land_audit(spark: SparkSession, sf: str, root: str, late: bool) -> None:
+    """The pages of three days below their date; late ones are each third event."""
+    chosen = (F.col("ts") >= "2024-01-12") & (F.col("ts") < "2024-01-15 12:00:00")
+    is_late = (F.col("ts") < "2024-01-14") & (F.col("event_id") % 3 == 0)
+    rows = as_audit(spark, sf).where(chosen & (is_late if late else ~is_late))
+    doc = F.struct(F.array(F.struct(payload().alias("CloudTrailEvent"))).alias("Events"))
+    lines = rows.select(F.to_json(F.struct("account_id", "account_name", "region", doc.alias("doc"))).alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("dt"))
+    lines.write.mode("append").partitionBy("dt").text(f"{root}/cloudtrail/events")
+
+
+@check(
+    "ingest_late_pages",
+    f"""WITH {LATE_SQL}
+    SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(moment, '%Y-%m-%d %H:%M:%S') AS event_time,
+      CASE WHEN late THEN '2024-01-15 12:00' WHEN moment < TIMESTAMP '2024-01-14' THEN '2024-01-13 23:59' ELSE '2024-01-15 12:00' END AS created_at FROM kept""",
+)
+def ingest_late_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages that are landed for a day after its run are taken in by the next run; what was taken in is not read again."""
+    root = session.scratch(spark, "late")
+    store = f"{root}/store"
+    _land_audit(spark, sf, root, late=False)
+    Sync(spark, root, store, datetime(2024, 1, 13, 23, 59)).run(["cloudtrail"])
+    _land_audit(spark, sf, root, late=True)
+    sync = Sync(spark, root, store, LATE)
+    sync.run(["cloudtrail"])
+    if sync.new_audit_files() != list(StateStore(spark, store).log("cloudtrail").read(sync.run_id).inputs):
+        raise ValueError("a repeat would read other files")
+    if Sync(spark, root, store, datetime(2024, 1, 16, 12)).new_audit_files():
+        raise ValueError("files are taken in twice")
+    found = audit_log.read_events(spark, sync.events_path)
+    return found.select("event_id", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("event_time"), F.date_format("created_at", "yyyy-MM-dd HH:mm").alias("created_at"))
+
+
+@check(
+    "stream_after_batch",
+    f"""WITH {LATE_SQL}
+    SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN late THEN 'stream' ELSE 'batch' END AS taken_in FROM kept
+    UNION ALL SELECT CAST(event_id AS VARCHAR), 'late' FROM au WHERE event_type IN ('view', 'signup', 'purchase') AND ts < TIMESTAMP '2024-01-05'
+    UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'events' FROM nation""",
+)
+def stream_after_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream over pages that a batch run has taken in for the most part adds the others; broken and too late events go to quarantine."""
+    root = session.scratch(spark, "both")
+    store = StateStore(spark, f"{root}/store")
+    _land_audit(spark, sf, root, late=False)
+    batch = Sync(spark, root, store.root, LATE)
+    batch.run(["cloudtrail"])
+    _land_audit(spark, sf, root, late=True)
+    early = as_audit(spark, sf).where(F.col("ts") < "2024-01-05")
+    doc = F.struct(F.array(F.struct(payload().alias("CloudTrailEvent"))).alias("Events"))
+    early.select(F.to_json(F.struct("account_id", "account_name", "region", doc.alias("doc")))).write.mode("append").text(f"{root}/cloudtrail/events/dt=2024-01-15")
+    broken = table(spark, sf, "nation").select(F.to_json(F.struct(F.struct(F.array(F.struct(F.concat(lit("{"), text("n_nationkey")).alias("CloudTrailEvent"))).alias("Events")).alias("doc"))))
+    broken.write.mode("append").text(f"{root}/cloudtrail/events/dt=2024-01-15")
+    pages_ = audit_stream.read_pages(spark, f"{root}/cloudtrail/events")
+    for again in ("one", "two"):  # the second stream finds every id stored
+        audit_stream.ingest(pages_, store, f"{root}/checkpoint-{again}", now=lambda: datetime(2024, 1, 15, 13)).awaitTermination()
+    events = audit_log.read_events(spark, batch.events_path)
+    taken = F.when(F.col("created_at") == batch.run_ts, "batch").otherwise("stream")
+    thrown = store.rejected().where("run_id LIKE 'checkpoint-one%'")
+    id_of = F.when(F.col("dataset") == "late", F.get_json_object("content", "$.event_id")).otherwise(F.substring("content", 2, 10))
+    return events.select("event_id", taken.alias("taken_in")).unionByName(thrown.select(id_of.alias("event_id"), F.col("dataset").alias("taken_in")))
+
+
 @check(
     "stream_pages",
     f"""WITH {AUDIT_SQL}

@@ -129,12 +129,14 @@ def attribute(
     anchor: Column | str,
     window_s: int = WINDOW_SECONDS,
     latest_first: bool = False,
+    latest: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``changed_by`` to changed cells.
 
     Order of evidence: with ``latest_first`` the latest event of the field; then the nearest event of
     the same resource type and name; then the nearest event of that name whose event name can explain
-    the field; then ``unknown``. ``anchor`` is one timestamp for all cells, or the name of a
+    the field; then ``unknown``. ``latest`` holds the latest events by type, name and event name (see :mod:`inventrace.sources.latest`);
+    without it they are looked for in ``events``. ``anchor`` is one timestamp for all cells, or the name of a
     TIMESTAMP_NTZ column of ``cells``.
     """
     ev = _event_columns(events)
@@ -159,7 +161,12 @@ def attribute(
     out = cells.join(direct, direct_key, "left").join(related, related_key, "left")
     evidence = [F.col("_direct"), F.col("_related"), F.lit(UNKNOWN)]
     if latest_first:
-        by_field, any_event = latest_event(ev, dims)
+        if latest is None:
+            latest = ev
+        else:  # the changed resources are few: the table is cut down to theirs before anything is grouped
+            named = cells.select(F.col("_type").alias("resource_type"), F.col("resource_id").alias("resource_name")).distinct()
+            latest = latest.join(named, ["resource_type", "resource_name"], "left_semi")
+        by_field, any_event = latest_event(latest, dims)
         mapped = dims.select("_type", "_field").distinct().withColumn("_mapped", F.lit(True))
         out = (
             out.join(by_field, ["_type", "_field", "resource_id"], "left")

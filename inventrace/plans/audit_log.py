@@ -158,12 +158,19 @@ def append_events(
 ) -> DataFrame:
     """Append events that are not stored yet. Returns the stored events of the look-back.
 
-    A repeated event has the same time, so only the stored days inside the look-back are read for the
-    anti join; older partitions are never touched.
+    A repeated event has the same time, so only the stored days that ``events`` has (at most those of the look-back) are read for the
+    anti join; other partitions are never touched. ``events`` is read twice and should be stored.
     """
     since = run_ts - F.expr(f"INTERVAL {days} DAYS")
-    known = read_events(spark, path, since)
-    fresh = stored_layout(new_events(recent(events, run_ts, days), known), run_ts)
+    taken = recent(events, run_ts, days)
+    dates = [r[0] for r in taken.select(F.to_date("event_time")).distinct().limit(days + 2).collect()]
+    known = read_events(spark, path, since).where(F.col("event_date").isin(dates)) if dates else read_events(spark, path, since)
+    fresh = stored_layout(new_events(taken, known), run_ts)
     # Rebalancing writes few files per day and still splits a day that holds most of the events.
     fresh.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(path)
     return read_events(spark, path, since)
+
+
+def stored_at(spark: SparkSession, path: str, run_ts: Column, days: int = LOOK_BACK_DAYS) -> DataFrame:
+    """The events that one ingest stored."""
+    return read_events(spark, path, run_ts - F.expr(f"INTERVAL {days} DAYS")).where(F.col("created_at") == run_ts)

@@ -16,6 +16,7 @@ from inventrace.operators import upsert as merging
 from inventrace.plans import audit_log
 from inventrace.session import discard, scratch, sized_shuffles
 from inventrace.sources.landed import bytes_at, corrupt_lines, list_files, list_raw, read_dataset, read_raw, split_invalid
+from inventrace.sources.latest import LatestEvents
 from inventrace.sources.manifest import Manifest
 from inventrace.sources.state import MOST_CHANGED, MOST_CHANGES, StateStore
 from inventrace.specs.model import Raw, ResourceSpec
@@ -39,9 +40,9 @@ def diff(spec: ResourceSpec, snapshot: DataFrame, state: DataFrame, run_ts: Colu
 
 
 def attribute(
-    spec: ResourceSpec, cells: DataFrame, events: DataFrame, mapping: DataFrame, anchor: Column | str
+    spec: ResourceSpec, cells: DataFrame, events: DataFrame, mapping: DataFrame, anchor: Column | str, latest: DataFrame | None = None
 ) -> DataFrame:
-    return attribution.attribute(cells, events, mapping, anchor, latest_first=spec.latest_lookup)
+    return attribution.attribute(cells, events, mapping, anchor, latest_first=spec.latest_lookup, latest=latest)
 
 
 @dataclass
@@ -57,10 +58,11 @@ def upsert_frames(
     events: DataFrame,
     mapping: DataFrame,
     anchor: Column | str,
+    latest: DataFrame | None = None,
 ) -> Result:
     """State, history and counters, all from one compared frame."""
     cells = merging.significant(merging.changed_cells(spec, compared))
-    changes = merging.history_rows(attribute(spec, cells, events, mapping, anchor))
+    changes = merging.history_rows(attribute(spec, cells, events, mapping, anchor, latest))
     return Result(merging.new_state(spec, compared), changes, merging.counters(spec, compared))
 
 
@@ -151,9 +153,11 @@ class Sync:
             kept = polled.where("important").select("event.*")
             audit_log.append_events(self.spark, kept, self.events_path, self.run_ts, self.look_back_days)
         since = self.run_ts - F.expr(f"INTERVAL {self.look_back_days} DAYS")
-        stored = audit_log.read_events(self.spark, self.events_path, since)
+        fresh = audit_log.stored_at(self.spark, self.events_path, self.run_ts, self.look_back_days)
+        if known is None:
+            LatestEvents(self.store).add(fresh, audit_log.read_events(self.spark, self.events_path))
         long = lambda n: F.lit(n).cast("long")
-        inserted = stored.where(F.col("created_at") == self.run_ts).select(long(0).alias("total"), long(0).alias("important"), long(1).alias("inserted"), long(0).alias("rejected"))
+        inserted = fresh.select(long(0).alias("total"), long(0).alias("important"), long(1).alias("inserted"), long(0).alias("rejected"))
         late = F.col("important") & ~F.coalesce((F.col("event.event_time") >= since) & (F.col("event.event_time") <= self.run_ts), F.lit(False))
         funnel = polled.where("NOT broken").select(long(1).alias("total"), F.col("important").cast("long").alias("important"), long(0).alias("inserted"), late.cast("long").alias("rejected"))
         thrown = rejected.select(long(0).alias("total"), long(0).alias("important"), long(0).alias("inserted"), long(1).alias("rejected"))
@@ -169,23 +173,32 @@ class Sync:
         names = ", ".join(f"{c} long" for c in counts)
         return self.spark.createDataFrame([(service, *counts.values())], f"service string, {names}")
 
-    def events_for(self, spec: ResourceSpec) -> DataFrame:
-        """Events attribution can use: the days around the run; where there is no time bound, also all of the resource's type."""
-        if spec.latest_lookup:
-            day = F.expr("INTERVAL 1 DAY")
-            near = F.col("event_time").between(self.run_ts - day, self.run_ts + day)
-            own = F.upper("resource_type") == spec.service_type
-            return audit_log.read_events(self.spark, self.events_path).where(near | own)
-        return audit_log.read_events(self.spark, self.events_path, self._day_before())
+    def events_for(self, as_of: str) -> DataFrame:
+        """Events attribution can use: the days around the run, as they were stored up to ``as_of``."""
+        events = audit_log.read_events(self.spark, self.events_path, self._day_before())
+        return events.where(F.col("created_at") <= F.lit(as_of).cast("timestamp_ntz"))
+
+    def latest_for(self, spec: ResourceSpec, entry: str | None, as_of: str) -> DataFrame | None:
+        """Latest events by type, name and event for resources that are attributed without a time bound.
+
+        Without such an entry (a repeated run's may be gone) all events stored up to ``as_of`` stand in for it.
+        """
+        if not spec.latest_lookup:
+            return None
+        found = LatestEvents(self.store).read(entry)
+        if found is not None:
+            return found
+        events = audit_log.read_events(self.spark, self.events_path).where(F.col("created_at") <= F.lit(as_of).cast("timestamp_ntz"))
+        return events.withColumn("resource_type", F.upper("resource_type"))
 
     def _day_before(self) -> Column:
         return F.lit((self.run_time - timedelta(days=1)).strftime("%Y-%m-%d")).cast("timestamp_ntz")
 
     @cached_property
-    def events_as_of(self) -> str | None:
-        """When the last of the events was stored that this run can see; None without events."""
+    def events_as_of(self) -> str:
+        """When the last of the events around the run was stored; without any, the time of the run."""
         latest = audit_log.read_events(self.spark, self.events_path, self._day_before()).agg(F.max("created_at").cast("string")).first()
-        return latest[0]
+        return latest[0] or self.run_time.strftime("%Y-%m-%d %H:%M:%S.%f")
 
     def input_bytes(self, spec: ResourceSpec) -> int:
         """Landed text of the run plus stored columns, which are about four times larger in memory."""
@@ -207,6 +220,7 @@ class Sync:
         before = log.read(parent) if parent is not None else None
         files = () if raw is not None else known.inputs if known else tuple(list_raw(self.spark, self.landing, spec, self.run_date))
         as_of = known.events_as_of if known else self.events_as_of
+        entry = known.latest_as_of if known else LatestEvents(store).entry()
         added = [c for c in spec.compared if before and c not in replace(spec, columns=before.columns).column_names]
         sizes = store.part_bytes(spec, before)
         with sized_shuffles(self.spark, self.input_bytes(spec)) as wanted:
@@ -224,14 +238,13 @@ class Sync:
             state = open_tables.enter_context(store.clustered(spec, before)) if before and before.buckets else store.read_version(spec, parent)
             compared = merging.compare(spec, snapshot, state, self.run_ts, added=added)
             part, written = store.write_part(spec, compared, self.run_id, target, whole, deal=target != buckets or bool(spec.conflict_key))
-            events = self.events_for(spec).where(F.col("created_at") <= F.lit(as_of).cast("timestamp_ntz"))
-            result = upsert_frames(spec, written, events, self.mapping, self.run_ts)
+            result = upsert_frames(spec, written, self.events_for(as_of), self.mapping, self.run_ts, self.latest_for(spec, entry, as_of))
             store.append_history(result.changes, spec.service_type, self.run_id)
             names = ("processed", "inserted", "updated", "matched")
             got = result.metrics.first()
             counts = {c: (got[c] or 0) if got else 0 for c in names} | {"rejected": rejected.count()}
         parts = (part,) if whole else (*before.parts, part)
-        log.commit(Manifest(self.run_id, parent, parts, target, spec.columns, files, counts, as_of))
+        log.commit(Manifest(self.run_id, parent, parts, target, spec.columns, files, counts, as_of, entry))
         repeatable = store.versions(spec.table)[-self.keep_versions :]
         store.expire(spec, self.keep_versions, protected=[log.read(v).parent for v in repeatable])
         return self._metrics(spec.service, counts)

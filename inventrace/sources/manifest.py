@@ -26,8 +26,8 @@ class RunExpired(ValueError):
 class Manifest:
     """``parts`` are the folders of the version, oldest first; ``buckets`` into how many key buckets they are cut (None: not at all).
 
-    ``inputs`` are landed files relative to the landing folder. ``events_as_of`` is the latest created_at among the audit events that the
-    run could see. ``parent`` is the run whose version it started from: None for a first run.
+    ``inputs`` are landed files relative to the landing folder. ``events_as_of`` is up to which created_at the run could see
+    audit events, ``latest_as_of`` the entry of the latest-event table. ``parent`` is the run whose version it started from: None for a first run.
     """
 
     run_id: str
@@ -38,6 +38,7 @@ class Manifest:
     inputs: tuple[str, ...] = ()
     counts: dict[str, int] = field(default_factory=dict)
     events_as_of: str | None = None
+    latest_as_of: str | None = None
     tries: int = 0
     expired: bool = False
 
