@@ -399,7 +399,8 @@ def sig_json_array_set(spark: SparkSession, sf: str) -> DataFrame:
     "json_or_literal",
     f"""WITH {CUST} SELECT id, CASE WHEN key < 5 THEN '{{"k":' || key || ',"s":"' || seg || '"}}'
         WHEN key < 10 THEN '{{"a":null,"k":true,"s":"' || seg || '"}}'
-        WHEN key < 15 THEN '["' || seg || '","zz"]' ELSE NULL END AS document FROM c""",
+        WHEN key < 15 THEN '["' || seg || '","zz"]' WHEN key < 20 THEN '{{"a":[1,["' || seg || '"]],"b":{{"c":["x","y"],"it''s":null}}}}'
+        ELSE NULL END AS document FROM c""",
 )
 def json_or_literal(spark: SparkSession, sf: str) -> DataFrame:
     key, seg = F.col("key"), F.col("seg")
@@ -407,6 +408,7 @@ def json_or_literal(spark: SparkSession, sf: str) -> DataFrame:
         F.when(key < 5, F.concat(lit('{"s": "'), seg, lit('", "k": '), text(key), lit("}")))
         .when(key < 10, F.concat(lit("{'s': '"), seg, lit("', 'k': True, 'a': None}")))
         .when(key < 15, F.concat(lit("{'zz', '"), seg, lit("'}")))
+        .when(key < 20, F.concat(lit("{'b': {\"it's\": None, 'c': {'y', 'x'},}, 'a': (1, ['"), seg, lit("'])}")))
         .otherwise(F.concat(lit("plain "), seg))
     )
     return cust(spark, sf).select("id", jsontext.canonical_json(raw).alias("document"))

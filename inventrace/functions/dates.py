@@ -13,8 +13,51 @@ SECONDS = "yyyy-MM-dd HH:mm:ss"
 
 
 def parse_naive(text: Column) -> Column:
-    """ISO-like text to TIMESTAMP_NTZ; an offset or zone suffix is dropped, not applied."""
-    return F.regexp_replace(strip(text), OFFSET, "").try_cast("timestamp_ntz")
+    """Date text to TIMESTAMP_NTZ; an offset or zone suffix is dropped, not applied. ISO forms, and those of :func:`written_date`."""
+    raw = strip(text)
+    return F.coalesce(F.regexp_replace(raw, OFFSET, "").try_cast("timestamp_ntz"), written_date(raw))
+
+
+# Names of days and months, and zones, in date texts.
+DAY_NAME = r"^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+"
+MONTH = r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
+ZONE = r"\s*(?:z|utc|gmt)?\s*(?:[+-]\d{2}:?\d{2})?\s*(?:\([a-z ]*\))?$"
+
+#: Rewrites of lower-case text, in this order, into ``d mon yyyy`` or ``yyyy-m-d`` with an optional clock time.
+REWRITES = [
+    (DAY_NAME, ""),
+    (rf"^{MONTH}[a-z]*\s+(\d{{1,2}})\s+([\d:.]+)(?:\s+[a-z]{{3,4}})?\s+(\d{{4}})$", "$2 $1 $4 $3"),
+    (r"^(\d{4})(\d{2})(\d{2})t?(\d{2})(\d{2})(\d{2})?(\D.*)?$", "$1-$2-$3 $4:$5:$6$7"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    (r":(\D|$)", ":00$1"),
+    (r"(?<=:\d{2}|:\d{2}\.\d{1,6}|\d{4})" + ZONE, ""),
+    (r"\s*\b([ap])\.?m\.?$", " $1m"),
+    (r"(?<=\d)([ap])m$", " $1m"),
+    (r"(?<=\d)(?:st|nd|rd|th)\b|,|\bat\b", " "),
+    (rf"\b{MONTH}[a-z]*\.?", "$1"),
+    (rf"^{MONTH}\s+(\d{{1,2}})\s+(\d{{4}})\b", "$2 $1 $3"),
+    (rf"^(\d{{1,2}})-{MONTH}-(\d{{4}})\b", "$1 $2 $3"),
+    (r"^(0?[1-9]|1[0-2])/(\d{1,2})/(\d{4})\b", "$3-$1-$2"),
+    (r"^(1[3-9]|2\d|3[01])/(\d{1,2})/(\d{4})\b", "$3-$2-$1"),
+    (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})\b", "$1-$2-$3"),
+    (r"^(\d{4}-\d{1,2}-\d{1,2})t", "$1 "),
+    (r"\s+", " "),
+]
+CLOCKS = ["[ H:m[:s[.SSSSSS]]]", " h:m[:s[.SSSSSS]] a"]
+
+
+def written_date(text: Column) -> Column:
+    """Dates as mail headers, logs and people write them, to TIMESTAMP_NTZ; null for other text.
+
+    ``Mon, 15 Jan 2024 10:00:00 GMT``, ``January 15, 2024 10:00 AM``, ``01/15/2024`` (the month first, unless it is above 12), ``2024/1/15``,
+    ``Mon Jan 15 10:00:00 2024``, ``20240115T100000``. Zones are dropped.
+    """
+    low = F.lower(strip(text))
+    for pattern, put in REWRITES:
+        low = F.regexp_replace(low, pattern, put)
+    layouts = [day + clock for day in ("d MMM yyyy", "yyyy-M-d") for clock in CLOCKS]
+    read = F.transform(F.array(F.trim(low)), lambda t: F.coalesce(*[F.try_to_timestamp(t, F.lit(x)) for x in layouts]).cast("timestamp_ntz"))
+    return F.when(F.regexp_like(text, F.lit(r"\d")), F.element_at(read, 1))
 
 
 def utc_naive(text: Column) -> Column:
