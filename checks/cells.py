@@ -524,7 +524,7 @@ def distinct_prefix_floor(spark: SparkSession, sf: str) -> DataFrame:
     st = F.col("o_orderstatus")
     names = F.array(F.col("o_orderpriority"), F.concat(st, lit("-1")), F.concat(st, lit("-2")), lit(""))
     kept = F.when(F.col("o_orderkey") % 2 == 0, names).otherwise(F.array(lit("")))
-    return table(spark, sf, "orders").select("o_orderkey", distinct_prefixes(kept).alias("triggers"))
+    return table(spark, sf, "orders").select("o_orderkey", distinct_prefixes(kept, 10).alias("triggers"))
 
 
 # ---------------------------------------------------------------- tags, flags, labels

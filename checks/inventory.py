@@ -6,16 +6,14 @@ the expected columns straight from the tables.
 
 from __future__ import annotations
 
-from dataclasses import replace
-from functools import partial
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.base import RUN_TIME, check, table, text
+from checks.base import check, run_ts, table, text
 from inventrace.plans.sync import flatten
 from inventrace.sources.landed import parse_pages
+from inventrace.specs.limits import limited
 from inventrace.specs.model import ResourceSpec
 from inventrace.specs.registry import SPECS
 
@@ -54,9 +52,8 @@ class Landing:
     """Landed pages of one resource, built row by row from a table with a numeric key."""
 
     def __init__(self, service: str, base: DataFrame, key: str, **options: int):
-        """``options`` go to the resource's flatten function."""
-        spec = SPECS[service]
-        self.spec: ResourceSpec = replace(spec, flatten=partial(spec.flatten, **options)) if options else spec
+        """With the limits of earlier loaders; ``options`` are further ones, for the resource's flatten function."""
+        self.spec: ResourceSpec = limited(SPECS[service], **options)
         self.base = base
         self.key = key
         self.raw: dict[str, DataFrame] = {}
@@ -73,7 +70,7 @@ class Landing:
 
     def flat(self) -> DataFrame:
         """The flat rows with nested columns and times as text."""
-        flat = flatten(self.spec, self.raw)
+        flat = flatten(self.spec, self.raw, run_ts())
         out = []
         for f in flat.schema.fields:
             c = F.col(f.name)
@@ -576,7 +573,7 @@ def res_s3(spark: SparkSession, sf: str) -> DataFrame:
     )
     rows = land.base.where(size <= 45).withColumn("p", F.explode(points))
     point = obj(
-        Bucket=name, StorageType=F.col("p.kind"), Timestamp=mixed_zones(F.col("p.at").cast("timestamp_ntz"), F.col("p_partkey")), Maximum=F.col("p.n").cast("double"), RunTime=lit(RUN_TIME)
+        Bucket=name, StorageType=F.col("p.kind"), Timestamp=mixed_zones(F.col("p.at").cast("timestamp_ntz"), F.col("p_partkey")), Maximum=F.col("p.n").cast("double")
     )
     return land.page("metrics", point, rows).flat()
 

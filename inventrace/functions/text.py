@@ -66,9 +66,14 @@ def count_of(items: Column) -> Column:
     return F.greatest(F.coalesce(F.size(items), F.lit(0)), F.lit(0)).cast("long")
 
 
+def first_items(items: Column, n: int | None) -> Column:
+    """The first n items of a list, all without a limit."""
+    return items if n is None else F.slice(items, 1, n)
+
+
 def join_or(items: Column, fill: str = MISSING, sep: str = ", ", first: int | None = None) -> Column:
     """Join a list (or its first n items) to text; an absent or empty list gives ``fill``."""
-    taken = F.slice(items, 1, first) if first else items
+    taken = first_items(items, first)
     return F.when(count_of(items) > 0, F.array_join(taken, sep)).otherwise(F.lit(fill))
 
 

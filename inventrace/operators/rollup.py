@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inventrace.functions.text import first_segment
+from inventrace.functions.text import first_items, first_segment
 
 
 def compliance(items: DataFrame, key: list[str], status: str = "Status") -> DataFrame:
@@ -37,9 +37,9 @@ def latest_total(points: DataFrame, key: list[str], kind: str, ts: str, value: s
     return latest.groupBy(*key).agg(F.sum(F.floor("_v").cast("long")).alias(into))
 
 
-def distinct_prefixes(names: Column, first: int = 10, sep: str = "-") -> Column:
-    """Distinct prefixes before ``sep`` among the first names (blank names skipped), at least 1."""
-    taken = F.filter(F.slice(names, 1, first), lambda x: x.isNotNull() & (x != ""))
+def distinct_prefixes(names: Column, first: int | None = None, sep: str = "-") -> Column:
+    """Distinct prefixes before ``sep`` among all names, or the ``first`` ones (blank names skipped), at least 1."""
+    taken = F.filter(first_items(names, first), lambda x: x.isNotNull() & (x != ""))
     prefixes = F.array_distinct(F.transform(taken, lambda x: first_segment(x, sep)))
     return F.greatest(F.lit(1), F.coalesce(F.size(prefixes), F.lit(0))).cast("long")
 

@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inventrace.functions.text import clip
 from inventrace.operators import attribution, report
 from inventrace.operators import upsert as merging
 from inventrace.plans import audit_log
@@ -23,14 +24,15 @@ from inventrace.specs.model import Raw, ResourceSpec
 from inventrace.specs.registry import AUDIT, SPECS, select_services
 
 
-def flatten(spec: ResourceSpec, raw: Raw) -> DataFrame:
+def flatten(spec: ResourceSpec, raw: Raw, run_ts: Column | None = None) -> DataFrame:
     """Landed documents -> one typed row per resource; rows without an id or a part of their key are left out."""
-    return flatten_all(spec, raw)[0]
+    return flatten_all(spec, raw, run_ts)[0]
 
 
-def flatten_all(spec: ResourceSpec, raw: Raw) -> tuple[DataFrame, DataFrame]:
+def flatten_all(spec: ResourceSpec, raw: Raw, run_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows of :func:`flatten`, the rows it leaves out)."""
-    flat = spec.flatten(raw).select(*spec.column_names)
+    columns = [clip(F.col(c), spec.widths[c]).alias(c) if c in spec.widths else F.col(c) for c in spec.column_names]
+    flat = (spec.flatten(raw, run_ts=run_ts) if spec.timed else spec.flatten(raw)).select(*columns)
     return split_invalid(flat, spec.resource_id, key=spec.key)
 
 
@@ -94,6 +96,8 @@ class Sync:
     count as ``rejected`` in the summary. ``keep_versions`` is how many runs of a table can be repeated: their versions and the ones they started from
     stay, older ones are given up after each run.
 
+    ``specs`` are the resource specs by service; :func:`inventrace.specs.limits.limited` gives those with the limits of earlier loaders.
+
     A run can be repeated: it starts from the version that its first try started from, reads the files that one read, sees the audit events
     that one saw, and so leaves the same state, history and counters. Where that version is not kept any more it raises
     :class:`RunExpired` and changes nothing.
@@ -107,7 +111,9 @@ class Sync:
         run_time: datetime,
         look_back_days: int = audit_log.LOOK_BACK_DAYS,
         keep_versions: int = 2,
+        specs: Mapping[str, ResourceSpec] = SPECS,
     ):
+        self.specs = specs
         self.look_back_days, self.keep_versions = look_back_days, keep_versions
         self.spark = spark
         self.landing = landing.rstrip("/")
@@ -231,7 +237,7 @@ class Sync:
         target = wanted if whole else buckets
         with sized_shuffles(self.spark, 0, exactly=buckets), ExitStack() as open_tables:
             raw = raw if raw is not None else read_raw(self.spark, self.landing, spec, files=files)
-            snapshot, left_out = flatten_all(spec, raw)
+            snapshot, left_out = flatten_all(spec, raw, self.run_ts)
             cut = [corrupt_lines(p).select(F.lit(n).alias("dataset"), "account_id", "content") for n, p in raw.items() if "_corrupt" in p.columns]
             lost = left_out.select(F.lit("").alias("dataset"), F.col("account_id").cast("string").alias("account_id"), F.to_json(F.struct("*")).alias("content"))
             rejected = store.quarantine(report.union_all([lost, *cut]), spec.service, self.run_id)
@@ -256,5 +262,5 @@ class Sync:
             if service == AUDIT:
                 metrics.append(self.ingest_audit())
             else:
-                metrics.append(self.sync_resource(SPECS[service], (raw or {}).get(service)))
+                metrics.append(self.sync_resource(self.specs[service], (raw or {}).get(service)))
         return report.run_summary(report.union_all(metrics))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from inventrace.functions.text import (
     MISSING,
     count_of,
+    first_items,
     first_segment,
     ids,
     join_or,
@@ -23,8 +24,6 @@ from inventrace.specs.model import PROVENANCE, Raw, ResourceSpec
 
 TAGS = "array<struct<Key: string, Value: string>>"
 SCOPE = ["account_id", "region"]
-#: How many images of a repository are looked at for tags.
-SHOWN_IMAGES = 5
 
 
 def os_details(platform: Column, details: Column, image_description: Column) -> Column:
@@ -260,7 +259,8 @@ EKS = ResourceSpec(
 )
 
 
-def flatten_ecr(raw: Raw) -> DataFrame:
+def flatten_ecr(raw: Raw, shown_images: int | None = None) -> DataFrame:
+    """Repositories with the tags of their landed images, or of the first ``shown_images``."""
     d = F.col("d")
     base = items(raw["repositories"], "repositories").withColumn("_name", d["repositoryName"])
     key = [*SCOPE, "_name"]
@@ -269,7 +269,7 @@ def flatten_ecr(raw: Raw) -> DataFrame:
     size = F.get("doc.repositoryStatistics", F.lit(0))["repositorySizeInBytes"]
     sizes = by_key(raw["statistics"], name, "_name", first={"_size": size})
     images = by_key(raw["images"], name, "_name", lists={"_all": F.col("doc.imageIds")})
-    images = images.select(*key, F.slice("_all", 1, SHOWN_IMAGES).alias("_images"))
+    images = images.select(*key, first_items(F.col("_all"), shown_images).alias("_images"))
     tags = by_key(raw["tags"], name, "_name", lists={"_tags": F.col("doc.tags")})
     tags = tags.select(*key, tag_value(F.col("_tags"), "BusinessAppID", names=("key", "value")).alias("_app"))
     joined = base.join(sizes, key, "left").join(images, key, "left").join(tags, key, "left")
@@ -330,7 +330,8 @@ def security_summary(config: Column, profile: Column, managed_group: Column) ->
     return join_or(parts, "Default")
 
 
-def flatten_emr(raw: Raw) -> DataFrame:
+def flatten_emr(raw: Raw, shown_applications: int | None = None) -> DataFrame:
+    """Clusters with the names of their applications, or of the first ``shown_applications``."""
     d, k = F.col("d"), F.col("k")
     base = items(raw["clusters"], "Clusters").withColumn("_id", d["Id"])
     details = items(raw["details"], "").select(*SCOPE, d["Cluster"]["Id"].alias("_id"), d["Cluster"].alias("k"))
@@ -344,7 +345,7 @@ def flatten_emr(raw: Raw) -> DataFrame:
     return joined.select(
         F.col("_id").alias("cluster_id"),
         or_default(d["Name"]).alias("cluster_name"),
-        join_or(apps, first=5).alias("application_types"),
+        join_or(apps, first=shown_applications).alias("application_types"),
         or_default(k["ReleaseLabel"]).alias("version"),
         or_default(k["Status"]["State"], "UNKNOWN").alias("state"),
         "region",

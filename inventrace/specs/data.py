@@ -144,8 +144,11 @@ def bucket_capacity(points: DataFrame, run_ts: Column) -> DataFrame:
     return latest_total(kept, [*SCOPE, "_name"], "StorageType", "Timestamp", "Maximum", since, "_bytes")
 
 
-def flatten_s3(raw: Raw) -> DataFrame:
-    """Buckets with their settings. ``raw["metrics"]``, if landed, carries size datapoints and their ``run_ts``."""
+def flatten_s3(raw: Raw, run_ts: Column | None = None) -> DataFrame:
+    """Buckets with their settings. ``raw["metrics"]``, if landed, carries size datapoints.
+
+    Datapoints count up to a week before ``run_ts``; without it, before the time that the collector wrote next to them.
+    """
     d, x = F.col("d"), F.col("x")
     key = [*SCOPE, "_name"]
     base = items(raw["buckets"], "Buckets").select(*SCOPE, "account_name", d["Name"].alias("_name"))
@@ -158,7 +161,7 @@ def flatten_s3(raw: Raw) -> DataFrame:
             d["StorageType"].alias("StorageType"),
             utc_naive(d["Timestamp"]).alias("Timestamp"),
             d["Maximum"].alias("Maximum"),
-            utc_naive(d["RunTime"]).alias("_run"),
+            (utc_naive(d["RunTime"]) if run_ts is None else run_ts).alias("_run"),
         )
         sizes = bucket_capacity(points, F.col("_run"))
         capacity = human_bytes(F.coalesce("_bytes", F.lit(0)))
@@ -230,6 +233,7 @@ S3 = ResourceSpec(
     },
     optional_raw=("metrics",),
     flatten=flatten_s3,
+    timed=True,
 )
 
 # Command name -> job type; anything else is ETL.
@@ -261,7 +265,7 @@ def flatten_glue(raw: Raw) -> DataFrame:
         job_type(d["Command"]["Name"]).alias("type"),
         or_default(utc_text(d["CreatedOn"])).alias("domain"),
         job_creator(d["CodeGenConfigurationNodes"], d["Command"]["ScriptLocation"], catalog).alias("created_by"),
-        clip(or_default(d["GlueVersion"]), 50).alias("glue_version"),
+        or_default(d["GlueVersion"]).alias("glue_version"),
         *_scope_columns(),
     )
 
@@ -306,13 +310,13 @@ def _query_row(x: Column, query_id: Column, query: Column, database: Column, own
     return [
         query_id.alias("query_id"),
         F.concat(F.lit("Query-"), clip(query_id, 8)).alias("query_name"),
-        clip(database, 255).alias("domain"),
-        clip(or_default(F.nullif(query, F.lit(""))), 500).alias("description"),
-        clip(database, 255).alias("database_name"),
-        clip(F.when(has_from, first_table(query)).otherwise(F.lit(MISSING)), 500).alias("tables_used"),
+        database.alias("domain"),
+        or_default(F.nullif(query, F.lit(""))).alias("description"),
+        database.alias("database_name"),
+        F.when(has_from, first_table(query)).otherwise(F.lit(MISSING)).alias("tables_used"),
         (millis / F.lit(1000.0)).alias("execution_duration"),
         F.lit("On-demand").alias("execution_frequency"),
-        clip(owner, 255).alias("owner"),
+        owner.alias("owner"),
         *_scope_columns(),
     ]
 
@@ -354,7 +358,7 @@ def flatten_tax(raw: Raw, newest_queries: int | None = None) -> DataFrame:
         F.when(found, or_default(x["QueryExecutionContext"]["Database"])).otherwise(missing),
         F.when(found, or_default(x["WorkGroup"], "primary")).otherwise(missing),
     )
-    description = clip(F.when(found, or_default(x["Query"], "")).otherwise(missing), 500).alias("description")
+    description = F.when(found, or_default(x["Query"], "")).otherwise(missing).alias("description")
     return joined.select(*row[:3], description, *row[4:])
 
 

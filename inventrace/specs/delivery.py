@@ -9,6 +9,7 @@ from inventrace.functions.dates import micros_text, utc_naive
 from inventrace.functions.text import (
     MISSING,
     clip,
+    first_items,
     count_of,
     ids,
     join_or,
@@ -22,8 +23,6 @@ from inventrace.specs.model import PROVENANCE, Raw, ResourceSpec
 
 TAGS = "array<struct<Key: string, Value: string>>"
 SCOPE = ["account_id", "region"]
-#: Of a pipeline, how many of its newest runs count and how many source revisions are shown.
-RECENT_RUNS, SHOWN_REVISIONS = 5, 3
 
 
 def _scope_columns() -> list[Column]:
@@ -39,10 +38,10 @@ def flatten_cloudformation(raw: Raw) -> DataFrame:
     live = items(raw["stacks"], "Stacks").where(~d["StackStatus"].eqNullSafe(F.lit("DELETE_COMPLETE")))
     return live.select(
         d["StackName"].alias("stack_name"),
-        clip(or_default(d["StackStatus"]), 50).alias("stack_status"),
+        or_default(d["StackStatus"]).alias("stack_status"),
         utc_naive(d["CreationTime"]).alias("creation_time"),
-        clip(or_default_blank(d["Description"]), 500).alias("description"),
-        clip(join_or(d["Capabilities"]), 255).alias("capabilities"),
+        or_default_blank(d["Description"]).alias("description"),
+        join_or(d["Capabilities"]).alias("capabilities"),
         *_scope_columns(),
     )
 
@@ -81,7 +80,7 @@ def flatten_trails(raw: Raw) -> DataFrame:
     d = F.col("d")
     return items(raw["trails"], "trailList").select(
         d["Name"].alias("trail_name"),
-        clip(log_uri(d["S3BucketName"], d["S3KeyPrefix"]), 500).alias("log_location"),
+        log_uri(d["S3BucketName"], d["S3KeyPrefix"]).alias("log_location"),
         yes_no(d["IsMultiRegionTrail"], False).alias("is_multi_region"),
         yes_no(d["IsOrganizationTrail"], False).alias("is_organization"),
         yes_no(d["IncludeGlobalServiceEvents"], True).alias("include_global_events"),
@@ -118,8 +117,8 @@ def flatten_ssm(raw: Raw) -> DataFrame:
     defaults = ageing(zero, zero)
     return joined.select(
         F.col("_id").alias("association_id"),
-        clip(or_default(d["Name"]), 255).alias("association_name"),
-        clip(or_default(d["DocumentName"]), 255).alias("domain"),
+        or_default(d["Name"]).alias("association_name"),
+        or_default(d["DocumentName"]).alias("domain"),
         *[F.coalesce(c, zero).alias(c) for c in ("compliant_resources", "non_compliant_resources")],
         *[F.coalesce(F.col(c), v).alias(c) for c, v in defaults.items()],
         *_scope_columns(),
@@ -146,7 +145,8 @@ SSM = ResourceSpec(
 )
 
 
-def flatten_stepfunctions(raw: Raw) -> DataFrame:
+def flatten_stepfunctions(raw: Raw, recent_executions: int | None = None) -> DataFrame:
+    """State machines; triggers are told from the names of all landed executions, or of the first ``recent_executions``."""
     d = F.col("d")
     base = items(raw["state_machines"], "stateMachines").withColumn("_arn", d["stateMachineArn"])
     key = [*SCOPE, "_arn"]
@@ -157,19 +157,19 @@ def flatten_stepfunctions(raw: Raw) -> DataFrame:
     versions = versions.select(*key, count_of(F.col("_list")).alias("_versions"))
     names = F.transform("doc.executions", lambda e: e["name"])
     runs = by_key(raw["executions"], arn, "_arn", lists={"_list": names})
-    runs = runs.select(*key, distinct_prefixes(F.col("_list")).alias("_triggers"))
+    runs = runs.select(*key, distinct_prefixes(F.col("_list"), recent_executions).alias("_triggers"))
     joined = base.join(details, key, "left").join(versions, key, "left").join(runs, key, "left")
     found = F.col("_role").isNotNull()
     role = F.when(F.col("_role") != MISSING, last_segment(F.col("_role"), "/"))
     return joined.select(
         F.col("_arn").alias("stepfunction_arn"),
-        clip(last_segment(F.col("_arn"), ":"), 255).alias("instance_id"),
-        clip(or_default(d["name"]), 255).alias("stepfunction_name"),
-        clip(or_default(d["definition"]), 500).alias("description"),
+        last_segment(F.col("_arn"), ":").alias("instance_id"),
+        or_default(d["name"]).alias("stepfunction_name"),
+        or_default(d["definition"]).alias("description"),
         F.when(found, or_default(F.col("_triggers"), 1)).otherwise(F.lit(1)).cast("long").alias("triggers"),
         F.when(found, or_default(F.col("_versions"), 1)).otherwise(F.lit(1)).cast("long").alias("versions"),
-        clip(or_default(role), 255).alias("roles_permissions"),
-        clip(or_default(d["status"], "ACTIVE"), 50).alias("status"),
+        or_default(role).alias("roles_permissions"),
+        or_default(d["status"], "ACTIVE").alias("status"),
         *_scope_columns(),
     )
 
@@ -197,15 +197,16 @@ STEPFUNCTIONS = ResourceSpec(
 )
 
 
-def flatten_codepipeline(raw: Raw) -> DataFrame:
+def flatten_codepipeline(raw: Raw, recent_runs: int | None = None, shown_revisions: int | None = None, revision_chars: int | None = None) -> DataFrame:
+    """Pipelines with their landed runs; the parameters bound the runs that count, the revisions shown and their ids."""
     d, runs, last = F.col("d"), F.col("_runs"), F.col("_last")
     base = items(raw["listed"], "pipelines").withColumn("_name", d["name"])
     listed = by_key(raw["executions"], F.col("doc.pipelineName"), "_name", lists={"_all": F.col("doc.pipelineExecutionSummaries")})
-    summaries = listed.select(*SCOPE, "_name", F.slice("_all", 1, RECENT_RUNS).alias("_runs"))
+    summaries = listed.select(*SCOPE, "_name", first_items(F.col("_all"), recent_runs).alias("_runs"))
     joined = base.join(summaries, [*SCOPE, "_name"], "left").withColumn("_last", F.get("_runs", F.lit(0)))
     revisions = F.transform(
         last["sourceRevisions"],
-        lambda r: F.concat(or_default(r["actionName"]), F.lit(":"), clip(or_default(r["revisionId"]), 10)),
+        lambda r: F.concat(or_default(r["actionName"]), F.lit(":"), or_default(r["revisionId"]) if revision_chars is None else clip(or_default(r["revisionId"]), revision_chars)),
     )
     status = (
         F.when(runs.isNull(), F.lit("Unknown"))
@@ -214,8 +215,8 @@ def flatten_codepipeline(raw: Raw) -> DataFrame:
     )
     return joined.select(
         F.col("_name").alias("pipeline_name"),
-        clip(status, 100).alias("last_execution_status"),
-        clip(join_or(revisions, first=SHOWN_REVISIONS), 500).alias("latest_source_revisions"),
+        status.alias("last_execution_status"),
+        join_or(revisions, first=shown_revisions).alias("latest_source_revisions"),
         micros_text(last["startTime"]).alias("last_execution_started"),
         count_of(runs).alias("recent_executions"),
         *_scope_columns(),

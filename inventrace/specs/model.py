@@ -24,6 +24,8 @@ class ResourceSpec:
     ``history_names`` exceptions to that rule
     ``fixed_region``  region written to history where the table has none
     ``conflict_key``  columns that alone decide whether an insert is ignored (narrower than the match key)
+    ``widths``        columns that are cut to so many characters (none by default)
+    ``timed``         the flat rows depend on the run time, which ``flatten`` takes as ``run_ts``
     ``latest_lookup`` attribute to the latest event first, without a time bound
     """
 
@@ -43,6 +45,8 @@ class ResourceSpec:
     conflict_key: tuple[str, ...] = ()
     latest_lookup: bool = False
     optional_raw: tuple[str, ...] = ()
+    widths: Mapping[str, int] = field(default_factory=dict)
+    timed: bool = False
 
     @property
     def column_names(self) -> list[str]:

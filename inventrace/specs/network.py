@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from inventrace.functions.dates import micros_text
 from inventrace.functions.text import (
     MISSING,
-    clip,
     count_of,
     join_or,
     or_default,
@@ -351,19 +350,19 @@ def flatten_apigateway(raw: Raw) -> DataFrame:
     )
     rest = items(raw["rest_apis"], "items").select(
         d["id"].alias("api_id"),
-        clip(or_default_blank(d["name"]), 500).alias("name"),
+        or_default_blank(d["name"]).alias("name"),
         or_default_blank(d["description"]).alias("description"),
         F.lit("REST").alias("protocol"),
-        clip(or_default(F.get(d["endpointConfiguration"]["types"], F.lit(0)), "REGIONAL"), 255).alias("endpoint_type"),
+        or_default(F.get(d["endpointConfiguration"]["types"], F.lit(0)), "REGIONAL").alias("endpoint_type"),
         micros_text(d["createdDate"]).alias("created_date"),
         *scope,
     )
     http = items(raw["apis"], "Items").select(
         d["ApiId"].alias("api_id"),
-        clip(or_default_blank(d["Name"]), 500).alias("name"),
+        or_default_blank(d["Name"]).alias("name"),
         or_default_blank(d["Description"]).alias("description"),
-        clip(or_default_blank(d["ProtocolType"], "HTTP"), 100).alias("protocol"),
-        clip(or_default_blank(d["ApiEndpoint"], "REGIONAL"), 255).alias("endpoint_type"),
+        or_default_blank(d["ProtocolType"], "HTTP").alias("protocol"),
+        or_default_blank(d["ApiEndpoint"], "REGIONAL").alias("endpoint_type"),
         micros_text(d["CreatedDate"]).alias("created_date"),
         *scope,
     )
@@ -414,9 +413,9 @@ def flatten_transfer(raw: Raw) -> DataFrame:
     endpoint = endpoint_text(s["EndpointType"], ed["VpcId"], ed["SubnetIds"], ed["VpcEndpointId"])
     return joined.select(
         F.col("_id").alias("server_id"),
-        clip(or_default(s["Domain"], "S3"), 255).alias("domain"),
-        clip(F.when(s.isNotNull(), endpoint).otherwise(F.lit(MISSING)), 500).alias("endpoint"),
-        clip(or_default(s["State"], "UNKNOWN"), 50).alias("state"),
+        or_default(s["Domain"], "S3").alias("domain"),
+        F.when(s.isNotNull(), endpoint).otherwise(F.lit(MISSING)).alias("endpoint"),
+        or_default(s["State"], "UNKNOWN").alias("state"),
         F.col("region"),
         F.col("account_name"),
         F.col("account_id"),

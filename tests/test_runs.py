@@ -241,3 +241,19 @@ def test_latest_events_are_those_of_all_days(spark, tmp_path, monkeypatch):
     got = latest_per_key(table.read(table.entry())).collect()
     assert {r.resource_name: r.user_name for r in got} == want and {r.resource_type for r in got} == {"EC2"}
     assert table.read(entries[0]) is None and table.read(entries[-2]) is not None
+
+
+def test_no_column_is_cut_by_default(spark, place):
+    from inventrace.specs.limits import LENGTHS, WIDTHS, limited
+
+    root, path = place
+    for d, end in enumerate("ab"):
+        folder = root / "cloudformation" / "stacks" / f"dt={DAY + timedelta(days=d):%Y-%m-%d}"
+        folder.mkdir(parents=True)
+        doc = {"Stacks": [{"StackName": "s", "StackStatus": "UP", "Description": "x" * 600 + end}]}
+        (folder / "a.json").write_text(json.dumps({"account_id": "1", "account_name": "p", "region": "r", "doc": doc}) + "\n")
+    for name, specs, changes in (("whole", SPECS, 1), ("cut", {s: limited(x) for s, x in SPECS.items()}, 0)):
+        for d in (0, 1):
+            Sync(spark, str(root), f"{path}-{name}", DAY + timedelta(days=d), specs=specs).run(["cloudformation"])
+        assert StateStore(spark, f"{path}-{name}").history().count() == changes
+    assert all(set(w) <= set(SPECS[s].column_names) for s, w in WIDTHS.items()) and set(LENGTHS) <= set(SPECS)
