@@ -197,8 +197,8 @@ STEPFUNCTIONS = ResourceSpec(
 )
 
 
-def flatten_codepipeline(raw: Raw, recent_runs: int | None = None, shown_revisions: int | None = None, revision_chars: int | None = None) -> DataFrame:
-    """Pipelines with their landed runs; the parameters bound the runs that count, the revisions shown and their ids."""
+def flatten_codepipeline(raw: Raw, recent_runs: int | None = None, shown_revisions: int | None = None, revision_chars: int | None = 10) -> DataFrame:
+    """Pipelines with their landed runs; the parameters bound the runs that count and the revisions shown, whose ids are abbreviated (None: whole)."""
     d, runs, last = F.col("d"), F.col("_runs"), F.col("_last")
     base = items(raw["listed"], "pipelines").withColumn("_name", d["name"])
     listed = by_key(raw["executions"], F.col("doc.pipelineName"), "_name", lists={"_all": F.col("doc.pipelineExecutionSummaries")})

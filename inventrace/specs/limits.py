@@ -27,7 +27,7 @@ WIDTHS: Mapping[str, Mapping[str, int]] = {
 }
 # List lengths by service, as parameters of the service's flatten function.
 LENGTHS: Mapping[str, Mapping[str, int]] = {
-    "codepipeline": {"recent_runs": 5, "shown_revisions": 3, "revision_chars": 10},
+    "codepipeline": {"recent_runs": 5, "shown_revisions": 3},
     "ecr": {"shown_images": 5},
     "emr": {"shown_applications": 5},
     "stepfunctions": {"recent_executions": 10},
