@@ -30,14 +30,18 @@ def cycled_weights(sources: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3
 
 
 def _integrated(knots: Column) -> tuple[Column, Column]:
-    """(segments of the piecewise linear schedule with the integral before each, whole integral)."""
+    """(segments of the piecewise linear schedule with the integral before each, whole integral).
+
+    Knots are sorted by time. Two at one time are a step: the weight jumps there, and no segment lies between them.
+    """
+    pairs = F.transform(F.slice(knots, 2, F.size(knots)), lambda b, i: F.struct(F.element_at(knots, i + 1).alias("a"), b.alias("b")))
     pairs = F.transform(
-        F.slice(knots, 2, F.size(knots)),
-        lambda b, i: F.struct(
-            F.element_at(knots, i + 1).t.alias("t0"),
-            F.element_at(knots, i + 1).weight.alias("w0"),
-            ((b.weight - F.element_at(knots, i + 1).weight) / (b.t - F.element_at(knots, i + 1).t)).alias("slope"),
-            ((b.t - F.element_at(knots, i + 1).t) * (b.weight + F.element_at(knots, i + 1).weight) / 2).alias("area"),
+        F.filter(pairs, lambda p: p.b.t > p.a.t),
+        lambda p: F.struct(
+            p.a.t.alias("t0"),
+            p.a.weight.alias("w0"),
+            ((p.b.weight - p.a.weight) / (p.b.t - p.a.t)).alias("slope"),
+            ((p.b.t - p.a.t) * (p.b.weight + p.a.weight) / 2).alias("area"),
         ),
     )
     start = F.struct(F.lit(0.0).alias("sum"), F.array().cast(SEGMENTS).alias("segments"))

@@ -46,6 +46,37 @@ def test_taken_words_reach_the_target(spark, cut_last):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def test_schedules_with_steps(spark):
+    """Positions are where the integrated weight reaches each document's share, by adding up small slices."""
+    rng = random.Random(5)
+    schedules = {
+        "a": [(0.0, 1.0), (0.5, 1.0), (0.5, 3.0), (1.0, 3.0)],
+        "b": [(0.0, 0.0), (0.25, 0.0), (0.25, 2.0), (0.75, 0.0), (1.0, 0.0)],
+        "c": [(0.0, 2.0), (0.0, 1.0), (1.0, 0.5), (1.0, 9.0)],
+    }
+    knots = frame(spark, [(s, [{"t": t, "weight": w} for t, w in k]) for s, k in schedules.items()], "source string, knots array<struct<t: double, weight: double>>")
+    rows = [(i, rng.choice("abc"), 1) for i in range(3000)]
+    got = mixing.mix(mixing.plan(frame(spark, rows, "doc_id long, source string, size long"), knots, size=F.col("size"))).collect()
+    steps = 200_000
+
+    def weight(own, t):
+        for (t0, w0), (t1, w1) in zip(own, own[1:]):
+            if t0 <= t < t1:
+                return w0 + (w1 - w0) * (t - t0) / (t1 - t0)
+        return 0.0
+
+    for s, own in schedules.items():
+        found = [r.position for r in got if r.doc.source == s]
+        area, reached = 0.0, [0.0]
+        for j in range(steps):
+            area += weight(own, (j + 0.5) / steps) / steps
+            reached.append(area)
+        assert len(found) > 300 and found == sorted(found)
+        for k, at in enumerate(found):
+            assert reached[int(at * steps)] / area == pytest.approx(k / len(found), abs=3e-3)
+        assert s != "b" or 0.25 <= found[0] and found[-1] <= 0.75
+
+
 def test_positions_follow_the_schedule(spark):
     """Source a fades out, source b fades in: half of a is placed where its weight's integral reaches a half."""
     schedule = spark.sql("SELECT 'a' AS source, array(struct(0D AS t, 2D AS weight), struct(1D AS t, 0D AS weight)) AS knots UNION ALL SELECT 'b', array(struct(0D AS t, 0D AS weight), struct(0.5D AS t, 1D AS weight), struct(1D AS t, 2D AS weight))")
