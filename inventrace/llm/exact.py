@@ -143,8 +143,9 @@ def exact_dedup(docs: DataFrame, incoming: Column, id_col: str = "doc_id", text_
         .unionByName(screened.filter("NOT maybe").drop("maybe"))
     )
     merged = stored(merged, "classes")
-    texts = rows.groupBy("digest", "text").agg(F.count("*").alias("n")).select(F.col("digest").alias("d"))
-    checked = texts.join(merged.filter("size > 1").select("digest"), F.col("d") == F.col("digest")).groupBy("digest").agg(F.count("*").alias("texts"))
+    # Only texts that share their digest are looked at: what the filters rejected and nobody repeats is never moved.
+    shared = rows.select("digest", "text").join(merged.filter("size > 1").select("digest"), "digest", "left_semi")
+    checked = shared.groupBy("digest", "text").agg(F.count("*").alias("n")).groupBy("digest").agg(F.count("*").alias("texts"))
     classes = merged.join(checked, "digest", "left").select(
         F.col("digest").alias("d"),
         "keep_id",
