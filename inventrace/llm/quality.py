@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,7 +76,9 @@ class Model:
 
 
 _BLOCKS, _ROWS, _SAMPLE = 64, -1, -2
-_GATHERED = "label int, block int, data binary"
+#: Groups of tasks whose counts are added up before those of all tasks are: no group holds more than some megabytes of them.
+_FAN = 512
+_GATHERED = "label int, block int, fan int, data binary"
 
 
 def gather(rows: DataFrame, fit_text_bytes: int) -> DataFrame:
@@ -109,19 +112,24 @@ def gather(rows: DataFrame, fit_text_bytes: int) -> DataFrame:
 
 def _gathered(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     label, block, data = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(block, pa.int32()), pa.array(data, pa.binary())], ["label", "block", "data"])
+    fan = pa.array([TaskContext.get().partitionId() % _FAN] * len(rows), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(block, pa.int32()), fan, pa.array(data, pa.binary())], ["label", "block", "fan", "data"])
 
 
-def _summed(key: tuple, table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, np.int32).astype(np.int64) for x in table.column("data").to_pylist())
-    return pa.table({"label": pa.array([key[0].as_py()], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()), "data": pa.array([total.tobytes()], pa.binary())})
+def _summed(kind: type) -> Callable[[pa.Table], pa.Table]:
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, kind).astype(np.int64) for x in table.column("data").to_pylist())
+        return table.slice(0, 1).set_column(3, "data", pa.array([total.tobytes()], pa.binary()))
+
+    return add
 
 
 def presence_counts(gathered: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """((2, places) documents of each class that have a place, documents of each class), over all labelled rows."""
     counts, sizes = np.zeros((2, _PLACES), np.int64), np.zeros(2, np.int64)
     width = _PLACES // _BLOCKS
-    for r in gathered.filter(f"block <> {_SAMPLE}").groupBy("label", "block").applyInArrow(_summed, _GATHERED).collect():  # 130 rows whatever the input
+    some = gathered.filter(f"block <> {_SAMPLE}").groupBy("label", "block", "fan").applyInArrow(_summed(np.int32), _GATHERED)
+    for r in some.groupBy("label", "block").applyInArrow(_summed(np.int64), _GATHERED).collect():  # 130 rows whatever the input
         values = np.frombuffer(r.data, np.int64)
         if r.block == _ROWS:
             sizes[r.label] = values[0]
@@ -200,7 +208,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         slope, offset = calibrate(margins, own)
         return pa.table({"w": pa.array([w.tobytes()], pa.binary()), "rest": pa.array([[bias, slope, offset]], pa.list_(pa.float64()))})
 
-    sample = gathered.filter(f"block = {_SAMPLE}").limit(fit_rows)
+    sample = gathered.filter(f"block = {_SAMPLE}").orderBy("label", "data").limit(fit_rows)
     got = sample.groupBy("block").applyInArrow(fit, "w binary, rest array<double>").first()
     w = np.frombuffer(got.w)
     bias, slope, offset = got.rest
@@ -236,7 +244,6 @@ def held_out(id_col: Column) -> Column:
 def labelled(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """(doc_id, text, label) of the documents with a label that may be learned from."""
     marks = labels.filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("l"), F.col(label).cast("int").alias("label")).distinct()
-    marks = marks.hint("merge")  # one plan at every size
     return docs.filter(~held_out(F.col("doc_id"))).join(marks, F.col("doc_id") == F.col("l")).select("doc_id", "text", "label")
 
 
