@@ -527,7 +527,7 @@ DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, los
 
 
 def read_back(parts: DataFrame) -> DataFrame:
-    """Per conversation what its formatted parts say: turns, learned text and length. Parts must come as they were formatted."""
+    """Per conversation what its formatted parts say: turns, learned text and length. Parts may come in any order: they are sorted first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready: list[tuple] = []
@@ -554,7 +554,7 @@ def read_back(parts: DataFrame) -> DataFrame:
         if ready:
             yield _digests(ready)
 
-    return parts.mapInArrow(run, DIGESTS)
+    return parts.repartition("conv_id").sortWithinPartitions("conv_id", "part").mapInArrow(run, DIGESTS)
 
 
 def _digests(rows: list[tuple]) -> pa.RecordBatch:

@@ -103,3 +103,11 @@ def test_conversations_are_read_back(spark, part_chars):
 def test_no_conversations(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_conversations(df)).count() == 0
+
+
+def test_parts_may_come_in_any_order(spark):
+    rows = [(c, t, "assistant" if t % 2 else "user", f"text {c} {t} " * 20) for c in range(7) for t in range(9)]
+    parts = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), part_chars=200)
+    want = sorted(chat.read_back(parts).collect())
+    dealt = spark.createDataFrame(sorted(parts.collect(), key=lambda r: hash((r.part * 7919, r.conv_id)) % 101), parts.schema).repartition(5)
+    assert dealt.count() > 20 and sorted(chat.read_back(dealt).collect()) == want
