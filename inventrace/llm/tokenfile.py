@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import string
 import zlib
@@ -81,10 +82,26 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+#: The text rules of the one kind of tokenizer whose words :func:`split_pieces` may cut.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+
+
+def cuttable(definition: str) -> bool:
+    """Whether a tokenizer has the rules that the short ways of :class:`WordTokenizer` rest on."""
+    d = json.loads(definition)
+    pre = d.get("pre_tokenizer") or {}
+    rules = pre.get("pretokenizers", [])
+    level = rules[1] if len(rules) == 2 else {}
+    byte_level = level.get("type") == "ByteLevel" and not level.get("add_prefix_space") and not level.get("use_regex")
+    added = all(not set(t["content"]) & set(string.whitespace) and not t["lstrip"] and not t["rstrip"] and not t["single_word"] for t in d.get("added_tokens", []))
+    return bool(d.get("normalizer") == _NORMALIZER and rules and rules[0] == _SPLIT and byte_level and added and d["model"]["type"] == "BPE" and not d["model"].get("dropout"))
+
+
 class WordTokenizer:
-    """A tokenizer of the tokenizers library whose rules never look over ASCII white space, with a memo of words.
+    """A tokenizer of the tokenizers library, with a memo of words where its rules never look over ASCII white space.
 
-    Every text is split at white space. A word of plain letters, with or without punctuation at its end, is one piece of such a tokenizer
+    Tokenizers with other rules than :func:`cuttable` asks for get whole texts. Else every text is split at white space. A word of plain letters, with or without punctuation at its end, is one piece of such a tokenizer
     in lower case and one of the punctuation: the letters go straight to the library's merge model. All other words go
     through the whole tokenizer. The memo has two halves: when the young one is full it becomes the old one, and words that are
     still in use move back.
@@ -95,6 +112,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(definition)
+        self.cuttable = cuttable(definition)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.letters = byte_letters()
@@ -107,6 +125,10 @@ class WordTokenizer:
     def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, n + 1 offsets); null counts as empty. Only distinct pieces are looked up."""
         data, offsets = flat(texts)
+        if not self.cuttable:
+            whole = [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            ids = [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(whole, add_special_tokens=False)]
+            return np.concatenate([np.zeros(0, "<u4"), *ids]), np.cumsum([0, *map(len, ids)])
         words, per = split_pieces(data, offsets)
         words = words.dictionary_encode()
         found = self._look_up(words.dictionary.to_pylist())

@@ -159,3 +159,13 @@ def test_bytes_that_are_no_text(spark, model):
     assert got == {1: sp.decode(rows[0][1]), 2: "é", 3: "", 4: None, 5: "a b"}
     with pytest.raises(ValueError):
         pieces.decode(df, pieces.read_model(MODEL), name="id")
+
+
+def test_other_tokenizers_get_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path) as f, open(WORDS) as g:
+        other, own = f.read(), g.read()
+    assert tokenfile.cuttable(own) and not tokenfile.cuttable(other)
+    texts = ["The quick  brown fox, it's", "", "A\nB 漢字"]
+    lib = Tokenizer.from_file(path)
+    assert [x.tolist() for x in tokenfile.WordTokenizer(other).encode([t.encode() for t in texts])] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
