@@ -13,6 +13,7 @@ from checks.base import check, run_ts, table, text
 from checks.inventory import cat, lit, mixed_zones, obj
 from checks.state import ORDERS, ORDERS_SQL, order_snapshot, order_state
 from inventrace import session
+from inventrace.plans.replay import replay
 from inventrace.plans.sync import Sync
 from inventrace.sources.manifest import RunExpired
 from inventrace.sources.state import StateStore
@@ -308,6 +309,37 @@ def stream_after_batch(spark: SparkSession, sf: str) -> DataFrame:
     return events.select("event_id", taken.alias("taken_in")).unionByName(thrown.select(id_of.alias("event_id"), F.col("dataset").alias("taken_in")))
 
 
+@check(
+    "quarantine_replay",
+    f"""WITH {LATE_SQL}, e AS (SELECT event_id, moment FROM kept WHERE NOT late)
+    SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 4 = 0 THEN '20240115T120000' END AS origin,
+      CASE WHEN event_id % 4 = 0 THEN '2024-01-15 13:00' ELSE '2024-01-15 12:00' END AS created_at, 1 AS still_broken FROM e WHERE event_id % 20 <> 0
+    UNION ALL SELECT NULL, '20240115T120000', NULL, count(*) FROM e WHERE event_id % 20 = 0""",
+)
+def quarantine_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads that lost their end are rejected, repaired and read again, once; some stay broken."""
+    root = session.scratch(spark, "replay")
+    key = F.col("event_id")
+    cut = F.when(key % 20 == 0, lit("{{")).when(key % 4 == 0, F.substr(payload(), F.lit(1), F.length(payload()) - 1)).otherwise(payload())
+    kept = (F.col("ts") >= "2024-01-12") & (F.col("ts") < "2024-01-15 12:00:00") & ~((F.col("ts") < "2024-01-14") & (key % 3 == 0))
+    rows = as_audit(spark, sf).where(kept & F.col("event_type").isin("view", "signup", "purchase"))
+    doc = F.struct(F.array(F.struct(cut.alias("CloudTrailEvent"))).alias("Events"))
+    rows.select(F.to_json(F.struct("account_id", "account_name", "region", doc.alias("doc")))).write.text(f"{root}/cloudtrail/events/dt=2024-01-15")
+    store = f"{root}/store"
+    Sync(spark, root, store, LATE).run(["cloudtrail"])
+    mend = lambda c: F.concat(c, lit("}"))
+    again = Sync(spark, root, store, datetime(2024, 1, 15, 13))
+    first = replay(again, "cloudtrail", mend).collect()
+    if replay(again, "cloudtrail", mend).collect() != first:
+        raise ValueError("a repeated replay counts differently")
+    later = replay(Sync(spark, root, store, datetime(2024, 1, 15, 14)), "cloudtrail", lambda c: F.concat(c, lit(" ")))
+    events = audit_log.read_events(spark, again.events_path).select("event_id", F.date_format("created_at", "yyyy-MM-dd HH:mm").alias("created_at"))
+    lineage = StateStore(spark, store).replayed().select("event_id", "origin")
+    none = F.lit(None).cast("string")
+    broken = later.where(F.col("taken") == 0).select(none.alias("event_id"), "origin", none.alias("created_at"), F.col("left").alias("still_broken"))
+    return events.join(lineage, "event_id", "left").select("event_id", "origin", "created_at", F.lit(1).cast("long").alias("still_broken")).unionByName(broken)
+
+
 @check(
     "stream_pages",
     f"""WITH {AUDIT_SQL}

@@ -29,7 +29,8 @@ HISTORY_COLUMNS = (
     "changed_by string, account_id string, region string, run_id string"
 )
 
-QUARANTINE_COLUMNS = "service string, run_id string, dataset string, account_id string, content string"
+QUARANTINE_COLUMNS = "service string, run_id string, dataset string, account_id string, content string, origin string"
+LINEAGE_COLUMNS = "service string, run_id string, origin string, dataset string, account_id string, event_id string, content string"
 
 #: Change folders on a whole copy, and their bytes against its, from which the next run writes a whole copy again.
 MOST_CHANGES, MOST_CHANGED = 8, 0.5
@@ -183,11 +184,30 @@ class StateStore:
         rows.drop("service_type").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
     def quarantine(self, rows: DataFrame, service: str, run_id: str) -> DataFrame:
-        """Replace the rejected rows (dataset, account_id, content) of one service and run; returns them as stored."""
+        """Replace the rejected rows (dataset, account_id, content, and origin if a replay rejects them) of one service and run; returns them as stored."""
         path = f"{self.root}/quarantine/service={service}/run_id={run_id}"
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def rejecting_runs(self, service: str) -> list[str]:
+        """The runs and replays that have a quarantine folder of a service."""
+        target, fs = _fs(self.spark, f"{self.root}/quarantine/service={service}")
+        names = [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+        return sorted(n[len("run_id=") :] for n in names if n.startswith("run_id="))
+
+    def write_lineage(self, rows: DataFrame, service: str, run_id: str) -> None:
+        """Replace what one replay took in: origin, dataset, account_id, event_id, content."""
+        path = f"{self.root}/replayed/service={service}/run_id={run_id}"
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+    def replayed(self) -> DataFrame:
+        """All rows that replays took in, with their service, replay and the run that rejected them."""
+        path = f"{self.root}/replayed"
+        target, fs = _fs(self.spark, path)
+        if not fs.exists(target):
+            return self.spark.createDataFrame([], LINEAGE_COLUMNS)
+        return self.spark.read.schema(LINEAGE_COLUMNS).parquet(path)
+
     def rejected(self) -> DataFrame:
         """All rejected rows with their service and run."""
         path = f"{self.root}/quarantine"

@@ -257,3 +257,24 @@ def test_no_column_is_cut_by_default(spark, place):
             Sync(spark, str(root), f"{path}-{name}", DAY + timedelta(days=d), specs=specs).run(["cloudformation"])
         assert StateStore(spark, f"{path}-{name}").history().count() == changes
     assert all(set(w) <= set(SPECS[s].column_names) for s, w in WIDTHS.items()) and set(LENGTHS) <= set(SPECS)
+
+
+def test_replayed_pages_are_read_by_the_next_run(spark, place):
+    from inventrace import replay
+
+    root, path = place
+    land(root, DAY, {"a": "UP"})
+    folder = root / "cloudformation" / "stacks" / f"dt={DAY:%Y-%m-%d}"
+    good = json.dumps({"account_id": "1", "account_name": "p", "region": "r", "doc": {"Stacks": [{"StackName": "b", "StackStatus": "UP"}]}})
+    (folder / "cut.json").write_text(good[:-2] + "\n" + "nonsense\n")
+    Sync(spark, str(root), path, DAY).run(["cloudformation"])
+    store, later = StateStore(spark, path), Sync(spark, str(root), path, DAY + timedelta(days=1))
+    assert statuses(store) == {"a": "UP"}
+    for _ in range(2):
+        got = replay(later, "cloudformation", lambda c: F.concat(c, F.lit("}}"))).collect()
+        assert [(r.origin, r.dataset, r.taken, r.left) for r in got] == [("20240101T120000", "stacks", 1, 1)]
+    later.run(["cloudformation"])
+    assert statuses(store) == {"a": "UP", "b": "UP"}
+    assert [(r.run_id, r.origin) for r in store.replayed().collect()] == [("replay-20240102T120000", "20240101T120000")]
+    again = replay(Sync(spark, str(root), path, DAY + timedelta(days=2)), "cloudformation").collect()
+    assert [(r.origin, r.taken, r.left) for r in again] == [("20240101T120000", 0, 1)]
