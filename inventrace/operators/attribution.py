@@ -17,7 +17,8 @@ from inventrace.session import fixed_rows
 from inventrace.specs.audit_values import field_events
 
 WINDOW_SECONDS = 86_400
-SLICE_SECONDS = 300
+#: Repeated moments collapse and time is in microseconds, so that a slice never holds more than ten million rows, and a resource has 8640 a day.
+SLICE_SECONDS = 10
 UNKNOWN = "unknown"
 
 
@@ -152,13 +153,13 @@ def attribute(
         )
     )
     if isinstance(anchor, str):
-        direct, related = _by_column(cells, ev, dims, anchor, window_s)
-        direct_key, related_key = ["_type", "resource_id", anchor], ["_type", "_field", "resource_id", anchor]
+        found, key = _by_column(cells, ev, dims, anchor, window_s), ["resource_id", anchor]
     else:
-        direct, related = _by_literal(ev, dims, anchor, window_s)
-        direct_key, related_key = ["_type", "resource_id"], ["_type", "_field", "resource_id"]
-
-    out = cells.join(direct, direct_key, "left").join(related, related_key, "left")
+        found, key = _by_literal(ev, dims, anchor, window_s), ["resource_id"]
+    # One row per resource (and anchor): its entries are as many as there are types and mapped fields, so one join brings all evidence.
+    listed = found.groupBy(*key).agg(F.collect_list("_entry").alias("_entries"))
+    out = cells.join(listed, key, "left")
+    out = out.withColumns({"_direct": _best_entry(F.lit(None).cast("string")), "_related": _best_entry(F.col("_field"))})
     evidence = [F.col("_direct"), F.col("_related"), F.lit(UNKNOWN)]
     if latest_first:
         if latest is None:
@@ -177,44 +178,42 @@ def attribute(
     return out.select(*[c for c in cells.columns if c not in ("_type", "_field")], F.coalesce(*evidence).alias("changed_by"))
 
 
-def _by_literal(ev: DataFrame, dims: DataFrame, anchor: Column, window_s: int) -> tuple[DataFrame, DataFrame]:
-    """One pass over the events inside the window; both lookups reduce that pass further."""
+def _best_entry(field: Column) -> Column:
+    """User of the best entry of the cell's type that stands for ``field`` (null: for the resource itself)."""
+    own = F.filter("_entries", lambda e: e["type"].eqNullSafe(F.col("_type")) & e["field"].eqNullSafe(field))
+    return F.array_min(F.transform(own, lambda e: e["best"]))["user_name"]
+
+
+def _entry(type_: Column, field: Column) -> Column:
+    return F.struct(type_.alias("type"), field.alias("field"), F.col("_best").alias("best"))
+
+
+def _by_literal(ev: DataFrame, dims: DataFrame, anchor: Column, window_s: int) -> DataFrame:
+    """(resource_id, _entry): one pass over the events inside the window, reduced to type, name and event first.
+
+    An event stands for the resource itself under its type, and for all fields that its name explains.
+    """
     grain = _nearest_to_literal(ev, ["resource_type", "resource_name", "event_name"], anchor, window_s)
-    direct = grain.groupBy(F.col("resource_type").alias("_type"), F.col("resource_name").alias("resource_id")).agg(
-        F.min("_best")["user_name"].alias("_direct")
-    )
-    related = (
-        grain.select("resource_name", "event_name", "_best")
-        .join(dims, "event_name")
-        .groupBy("_type", "_field", F.col("resource_name").alias("resource_id"))
-        .agg(F.min("_best")["user_name"].alias("_related"))
-    )
-    return direct, related
+    explained = grain.join(dims, "event_name", "left")
+    entries = F.array(_entry(F.col("resource_type"), F.lit(None).cast("string")), F.when(F.col("_type").isNotNull(), _entry(F.col("_type"), F.col("_field"))))
+    return explained.select(F.col("resource_name").alias("resource_id"), F.explode(F.array_distinct(F.array_compact(entries))).alias("_entry"))
 
 
-def _by_column(
-    cells: DataFrame, ev: DataFrame, dims: DataFrame, anchor: str, window_s: int
-) -> tuple[DataFrame, DataFrame]:
-    typed = ev.select(
-        F.col("resource_type").alias("_type"), F.col("resource_name").alias("resource_id"),
-        "event_time", "event_id", "user_name",
-    )
-    direct = nearest_event(cells, typed, ["_type", "resource_id"], anchor, window_s)
-    direct = direct.select("_type", "resource_id", anchor, F.col("_best.user_name").alias("_direct"))
+def _by_column(cells: DataFrame, ev: DataFrame, dims: DataFrame, anchor: str, window_s: int) -> DataFrame:
+    """(resource_id, anchor, _entry): the nearest events of every kind that some cell asks for, in one as-of join.
 
-    explainable = ev.join(F.broadcast(dims.select("event_name").distinct()), "event_name", "left_semi")
-    named = explainable.select(
-        F.col("resource_name").alias("resource_id"), "event_name", "event_time", "event_id", "user_name"
-    )
-    # Probe each event name that explains the field; a found event then serves every field it explains.
-    wanted = cells.select("_type", "_field", "resource_id", anchor).join(dims, ["_type", "_field"])
-    found = nearest_event(wanted, named, ["resource_id", "event_name"], anchor, window_s)
-    related = (
-        found.join(dims, "event_name")
-        .groupBy("_type", "_field", "resource_id", anchor)
-        .agg(F.min("_best")["user_name"].alias("_related"))
-    )
-    return direct, related
+    A kind is a resource type or an event name; an event is of its type's kind and, if it can explain a field, of its name's.
+    """
+    typed, named = F.concat(F.lit("T:"), F.col("resource_type")), F.concat(F.lit("E:"), F.col("event_name"))
+    explains = F.broadcast(dims.select("event_name", F.lit(True).alias("_explains")).distinct())
+    kinds = F.explode(F.array_compact(F.array(typed, F.when(F.col("_explains"), named)))).alias("_kind")
+    events = ev.join(explains, "event_name", "left").select(F.col("resource_name").alias("resource_id"), kinds, "event_time", "event_id", "user_name")
+    asked = cells.select("_type", "_field", "resource_id", anchor).join(dims, ["_type", "_field"], "left")
+    probes = asked.select("resource_id", anchor, F.explode(F.array_compact(F.array(F.concat(F.lit("T:"), F.col("_type")), named))).alias("_kind"))
+    found = nearest_event(probes, events, ["resource_id", "_kind"], anchor, window_s)
+    found = found.join(dims.select(named.alias("_kind"), "_type", "_field"), "_kind", "left")
+    own = F.when(F.startswith("_kind", F.lit("T:")), F.substring("_kind", 3, 10_000))
+    return found.select("resource_id", anchor, _entry(F.coalesce(own, F.col("_type")), F.when(own.isNull(), F.col("_field"))).alias("_entry"))
 
 
 def latest_event(ev: DataFrame, dims: DataFrame) -> tuple[DataFrame, DataFrame]:

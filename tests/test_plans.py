@@ -62,3 +62,17 @@ def test_details_in_several_pages_are_one_row(spark):
     flat = spark.createDataFrame(rows, "account_id string, region string, page int, k string, v array<string>")
     found = landed.by_key(flat.select("account_id", "region", "page", F.struct("k", "v").alias("doc")), F.col("doc.k"), "k", lists={"v": F.col("doc.v")})
     assert {(r.account_id, r.k): r.v for r in found.collect()} == {("a", "k"): ["a", "b", "c"], ("a", "other"): [], ("b", "k"): ["x"]}
+
+
+def test_attribution_shuffles_little(spark):
+    """One as-of join serves the evidence of the resource and of the field, and one join brings it to the cells."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(CHECKS["attr_field_fallback"].query(spark, SF))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert len(shuffles) <= 8, text
