@@ -244,6 +244,7 @@ def held_out(id_col: Column) -> Column:
 def labelled(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """(doc_id, text, label) of the documents with a label that may be learned from."""
     marks = labels.filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("l"), F.col(label).cast("int").alias("label")).distinct()
+    marks = marks.hint("merge")  # one plan at every size: labels grow with the documents, so broadcasting them would end somewhere
     return docs.filter(~held_out(F.col("doc_id"))).join(marks, F.col("doc_id") == F.col("l")).select("doc_id", "text", "label")
 
 
