@@ -7,11 +7,12 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.base import RUN_TIME, check, run_ts, table, text
+from checks.base import CHECKS, RUN_TIME, check, run_ts, table, text
 from inventrace import session
 from inventrace.operators import attribution, report, upsert
 from inventrace.plans import audit_log
 from inventrace.plans.sync import upsert_frames
+from inventrace.sources.latest import LatestEvents
 from inventrace.sources.state import StateStore
 from inventrace.specs.model import ResourceSpec
 
@@ -379,19 +380,24 @@ def attr_field_fallback(spark: SparkSession, sf: str) -> DataFrame:
 )
 def attr_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Latest event of the field's events, or of any event where the field has none listed."""
-    p = probes(spark, sf)
-    ev = audit_events(spark, sf)
-    dims = mapping(spark).select(F.col("service_type").alias("_type"), F.col("field_name").alias("_field"), "event_name")
-    by_field, any_event = attribution.latest_event(ev, dims)
-    mapped = F.broadcast(dims.where(F.col("_type") == "USER").select(F.col("_field")).distinct().withColumn("_mapped", F.lit(True)))
-    keyed = p.withColumns({"_type": F.lit("USER"), "_field": F.col("field_name")})
-    out = (
-        keyed.join(by_field, ["_type", "_field", "resource_id"], "left")
-        .join(any_event, ["_type", "resource_id"], "left")
-        .join(mapped, "_field", "left")
-    )
-    latest = F.when(F.col("_mapped"), F.col("_latest_field")).otherwise(F.col("_latest_any"))
-    return out.select("change_id", "field_name", F.coalesce(latest, F.lit(attribution.UNKNOWN)).alias("changed_by"))
+    return _by_latest(spark, sf, audit_events(spark, sf).withColumn("event_id", text("event_id")))
+
+
+def _by_latest(spark: SparkSession, sf: str, latest: DataFrame) -> DataFrame:
+    """Attribution with nothing but the latest events to go by."""
+    none = audit_events(spark, sf).where("1 = 0")
+    done = attribution.attribute(probes(spark, sf), none, mapping(spark), "changed_at", latest_first=True, latest=latest)
+    return done.select("change_id", "field_name", "changed_by")
+
+
+@check("attr_latest_table", CHECKS["attr_latest"].sql)
+def attr_latest_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the latest-event table, which three ingests kept up to date, the last events first."""
+    events, day = audit_events(spark, sf), F.dayofmonth("event_time")
+    table_ = LatestEvents(StateStore(spark, session.scratch(spark, "latest")))
+    for part in (events.where(day > 20), events.where(day.between(8, 20)), events.where(day < 10)):
+        table_.add(part, part)
+    return _by_latest(spark, sf, table_.read(table_.entry()))
 
 
 CHAIN_SQL = f"""
