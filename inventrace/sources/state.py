@@ -32,6 +32,8 @@ HISTORY_COLUMNS = (
 QUARANTINE_COLUMNS = "service string, run_id string, dataset string, account_id string, content string, origin string"
 LINEAGE_COLUMNS = "service string, run_id string, origin string, dataset string, account_id string, event_id string, content string"
 
+#: Where version tables are registered while a run reads or writes them; other catalogs may not know buckets.
+_CATALOG = "spark_catalog.default"
 #: Change folders on a whole copy, and their bytes against its, from which the next run writes a whole copy again.
 MOST_CHANGES, MOST_CHANGED = 8, 0.5
 
@@ -112,7 +114,7 @@ class StateStore:
 
         Inside, the version is a table of the session's catalog over its folders.
         """
-        name = f"inventrace_{uuid.uuid4().hex}"
+        name = f"{_CATALOG}.inventrace_{uuid.uuid4().hex}"
         columns = self.spark.createDataFrame([], f"{spec.columns}, last_updated timestamp_ntz, _action string").schema
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields)
         key = ", ".join(f"`{k}`" for k in spec.key)
@@ -147,7 +149,7 @@ class StateStore:
         if deal:
             rows = rows.repartition(buckets, *spec.key)
         part = f"v={run_id}~{uuid.uuid4().hex[:12]}"
-        path, name = f"{self.root}/state/{spec.table}/{part}", f"inventrace_{uuid.uuid4().hex}"
+        path, name = f"{self.root}/state/{spec.table}/{part}", f"{_CATALOG}.inventrace_{uuid.uuid4().hex}"
         rows.write.format("parquet").bucketBy(buckets, *spec.key).sortBy(*spec.key).option("path", path).saveAsTable(name)
         self.spark.sql(f"DROP TABLE {name}")
         return part, self.spark.read.schema(_plain(rows.schema)).parquet(path)
