@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inventrace.llm.common import flat, per_text, slices, stored, word_starts
+from inventrace.llm.common import flat, slices, stored, word_starts
 
 END_ID = 2
 #: A shard is closed when it has this many ids.
@@ -60,19 +60,23 @@ def split_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.nd
     bad |= start & sign
     bad[1:] |= letter[1:] & sign[:-1] & ~start[1:]
     first = np.flatnonzero(start)
-    total = np.concatenate([[0], np.cumsum(bad, dtype=np.int64)])
     bounds = np.append(first, len(data))
+    own = np.ones(len(first), bool)
+    own[np.searchsorted(first, np.flatnonzero(bad), "right") - 1] = False
     plain = np.zeros(len(data), bool)
-    plain[bounds[0] :] = np.repeat(total[bounds[1:]] == total[bounds[:-1]], np.diff(bounds))
-    low = data.copy()
-    low[(data >= 0x41) & (data <= 0x5A) & plain] += 0x20
+    plain[bounds[0] :] = np.repeat(own, np.diff(bounds))
+    capital = (data >= 0x41) & (data <= 0x5A) & plain
+    low = data | (capital.view(np.uint8) << 5)
     second = lead[plain[lead]] + 1
     low[second[data[second] < 0x9F]] += 0x20
     start[1:] |= plain[1:] & sign[1:] & letter[:-1]
-    solid = ~sep
-    own = low[solid]
-    ends = np.append(np.cumsum(solid, dtype=np.int64)[start] - 1, len(own))
-    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(own)]), per_text(start, offsets)
+    solid, last = ~sep, np.ones(len(data), bool)
+    last[:-1] = sep[1:] | start[1:]
+    first = np.flatnonzero(start)
+    lengths = np.flatnonzero(solid & last) - first + 1
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    words = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(low[solid])])
+    return words, np.diff(np.searchsorted(first, offsets))
 
 
 def byte_letters() -> dict[int, str]:
@@ -138,25 +142,22 @@ class WordTokenizer:
         use = words.indices.to_numpy(zero_copy_only=False)
         sizes = size[use]
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = pool[np.repeat(begin[use] - ends[:-1], sizes) + np.arange(ends[-1])]
-        return ids, ends[np.concatenate([[0], np.cumsum(per)])]
+        at = np.arange(ends[-1])
+        at += np.repeat(begin[use] - ends[:-1], sizes)
+        return pool[at], ends[np.concatenate([[0], np.cumsum(per)])]
 
     def _look_up(self, words: list[bytes]) -> list[bytes]:
         """The ids of each of some distinct words."""
         young, old = self.young, self.old
-        new = []
-        for w in words:
-            if w not in young:
-                if w in old:
-                    young[w] = old[w]
-                else:
-                    new.append(w)
+        new = [w for w in words if w not in young]
+        if old:
+            young.update((w, old[w]) for w in new if w in old)
+            new = [w for w in new if w not in old]
         learned = self._words(new)
         young.update(learned)
-        found = [young[w] for w in words]
-        for w in learned:
-            if len(w) > MEMO_BYTES:
-                del young[w]
+        found = list(map(young.__getitem__, words))
+        for w in [w for w in learned if len(w) > MEMO_BYTES]:
+            del young[w]
         if len(young) > MEMO_WORDS // 2:
             self.young, self.old = {}, young
         return found
@@ -167,6 +168,9 @@ class WordTokenizer:
         ask: set[bytes] = set()
         young, old, merge, letters = self.young, self.old, self.library.model.tokenize, self.letters
         for w in new:
+            if w.isalpha() and w.islower():  # most are: plain ASCII letters that :func:`split_pieces` has cut out
+                got[w] = array("I", map(_ID, merge(w.decode()))).tobytes()
+                continue
             low = w.decode().lower()
             core = low.rstrip(_PUNCTUATION)
             if not core.isalpha() or max(core) >= _PLAIN_LETTERS:
@@ -190,8 +194,16 @@ class WordTokenizer:
         return got
 
 
+#: Pairs are counted by hashed slots first; pairs over a document's end are in the slot behind the last.
+_SLOTS = 1 << 20
+
+
 def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return ((left * 0x9E3779B1 + right * 0x85EBCA77) & 0xFFFFF).astype(np.int32)
+    """The slot of each pair; symbols are of 32 bits, and so is the arithmetic."""
+    out = left.astype(np.uint32, copy=False) * np.uint32(0x9E3779B1)
+    out += right.astype(np.uint32, copy=False) * np.uint32(0x85EBCA77)
+    out &= np.uint32(_SLOTS - 1)
+    return out.view(np.int32)
 
 
 def _apart(where: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -209,9 +221,9 @@ def _apart(where: np.ndarray, rank: np.ndarray) -> np.ndarray:
 
 def _counted(seq: np.ndarray, slot: np.ndarray, full: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(pairs, their counts, places, pair at each place) of the slots with at least ``least`` places; a pair fills no more than its slot."""
-    ok = np.append(full >= least, False)  # the last one is for slot -1
+    ok = np.append(full >= least, False)
     at = np.flatnonzero(ok[slot])
-    keys = seq[at] << 32 | seq[at + 1]
+    keys = seq[at].astype(np.int64) << 32 | seq[at + 1]
     ordered = np.sort(keys)
     cut = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
     return ordered[cut], np.diff(np.append(cut, len(ordered))), at, keys
@@ -223,13 +235,13 @@ def repair(ids: np.ndarray, heads: np.ndarray, base: int) -> tuple[np.ndarray, n
     ``heads`` marks first ids of documents; no pair goes over a document's end. A round counts the pairs, takes the frequent
     ones in order of frequency and replaces each occurrence that no better neighbour overlaps.
     """
-    seq, rules, n_rules = ids.astype(np.int64), [], 0
+    seq, rules, n_rules = ids.astype(np.uint32), [], 0
     for _ in range(ROUNDS):
         if len(seq) < 2:
             break
         slot = _slot(seq[:-1], seq[1:])
-        slot[heads[1:]] = -1
-        full = np.bincount(slot[slot >= 0], minlength=1 << 20)
+        slot[heads[1:]] = _SLOTS
+        full = np.bincount(slot, minlength=_SLOTS + 1)[:_SLOTS]
         pairs, counts, at, keys = _counted(seq, slot, full, max(LEAST, full.max() // STEP))
         if len(counts) and counts.max() < full.max():  # the fullest slot holds several pairs: the bar is lower than it told
             pairs, counts, at, keys = _counted(seq, slot, full, max(LEAST, counts.max() // STEP))
@@ -239,22 +251,24 @@ def repair(ids: np.ndarray, heads: np.ndarray, base: int) -> tuple[np.ndarray, n
         pairs, often = pairs[often], counts[often]
         order = np.argsort(-often, kind="stable")
         pairs = pairs[order]
-        table = np.full(1 << 20, -1, np.int32)
+        table = np.full(_SLOTS, -1, np.int32)
         table[_slot(pairs[::-1] >> 32, pairs[::-1] & 0xFFFFFFFF)] = np.arange(len(pairs) - 1, -1, -1)  # of pairs in one slot, the most frequent
         place = table[slot[at]]
         hit = (place >= 0) & (pairs[place] == keys)
         where, here = at[hit], place[hit]
         chosen = _apart(where, here)
-        used, compact = np.unique(here[chosen], return_inverse=True)
+        taken = np.zeros(len(pairs), bool)
+        taken[here[chosen]] = True
+        used, compact = np.flatnonzero(taken), (np.cumsum(taken) - 1)[here[chosen]]
         chosen = where[chosen]
         made = pairs[used]
         rules.append(np.stack([made >> 32, made & 0xFFFFFFFF], axis=1))
-        seq[chosen] = base + n_rules + compact
+        seq[chosen] = (base + n_rules + compact).astype(np.uint32)
         n_rules += len(used)
         keep = np.ones(len(seq), bool)
         keep[chosen + 1] = False
         seq, heads = seq[keep], heads[keep]
-    return seq, heads, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
+    return seq.astype(np.int64), heads, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
@@ -290,7 +304,7 @@ class Shard:
         """From the ids of documents; every document has one at least."""
         counts = np.array([len(x) for x in ids])
         first_id = np.concatenate([[0], np.cumsum(counts)])
-        flat = np.concatenate(ids).astype(np.int64)
+        flat = np.concatenate(ids)
         heads = np.zeros(len(flat), bool)
         heads[first_id[:-1]] = True
         base = int(flat.max()) + 1

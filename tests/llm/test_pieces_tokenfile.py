@@ -169,3 +169,12 @@ def test_other_tokenizers_get_whole_texts():
     texts = ["The quick  brown fox, it's", "", "A\nB 漢字"]
     lib = Tokenizer.from_file(path)
     assert [x.tolist() for x in tokenfile.WordTokenizer(other).encode([t.encode() for t in texts])] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_plain_words_go_straight_to_the_merges(monkeypatch):
+    definition = open(public_tokenizers.path("word_bpe_49k.json")).read()
+    texts = ["Plain words and Again plain", "", "words\nAGAIN"]
+    want = [Tokenizer.from_str(definition).encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(tokenfile, "_PLAIN_LETTERS", None)  # what sorts out the other words fails
+    found = tokenfile.WordTokenizer(definition).encode([t.encode() for t in texts])
+    assert [x.tolist() for x in found] == want
