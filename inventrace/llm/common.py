@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,34 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(F.coalesce(col, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def releasing(run: Step) -> Step:
+    """A task's step that gives memory back to the system at its end.
+
+    Worker processes stay for later tasks, also of other stages, and there are more of them than tasks run at a time; what each keeps of its
+    last task's arrays would stand beside what the running ones need.
+    """
+
+    @wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
+def release() -> None:
+    """Give memory that numpy and Arrow have freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in row ranges with at most ``limit`` bytes of text each, but at least one row."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -71,5 +101,4 @@ def word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 def per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """How many set flags each text has."""
-    total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-    return total[offsets[1:]] - total[offsets[:-1]]
+    return np.diff(np.searchsorted(np.flatnonzero(flags), offsets))

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inventrace.llm.common import SLICE_BYTES, flat, per_text, slices
+from inventrace.llm.common import SLICE_BYTES, flat, per_text, releasing, slices
 
 SPACE = "▁"
 #: Words whose ids a task remembers from slice to slice (some 200 bytes each), and the longest of them in bytes.
@@ -356,7 +356,7 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", keep: Sequence
                 yield pa.RecordBatch.from_arrays([part.column("row"), ids], ["row", "ids"])
 
     rows = docs.select(F.col(text_col).cast("string").alias("__text"), F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("row"))
-    return rows.mapInArrow(run, f"row {_row_type(rows, 'row')}, ids array<int>")
+    return rows.mapInArrow(releasing(run), f"row {_row_type(rows, 'row')}, ids array<int>")
 
 
 def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
@@ -384,4 +384,4 @@ def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids", name: str = "
                 start = stop
 
     kinds = ", ".join(f"`{c}` {_row_type(encoded, c)}" for c in names)
-    return encoded.mapInArrow(run, f"{kinds}, `{name}` string")
+    return encoded.mapInArrow(releasing(run), f"{kinds}, `{name}` string")

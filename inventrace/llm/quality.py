@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inventrace.llm.common import flat, slices, stored
+from inventrace.llm.common import flat, release, releasing, slices, stored
 
 #: Features are hashed to 2^FEATURE_BITS places.
 FEATURE_BITS = 18
@@ -107,7 +107,7 @@ def gather(rows: DataFrame, fit_text_bytes: int) -> DataFrame:
             dense = [(label, k, part.tobytes()) for label in (0, 1) for k, part in enumerate(np.split(counts[label], _BLOCKS))]
             yield _gathered(dense + [(label, _ROWS, rows_of[label].tobytes()) for label in (0, 1)])
 
-    return rows.mapInArrow(run, _GATHERED)
+    return rows.mapInArrow(releasing(run), _GATHERED)
 
 
 def _gathered(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -148,17 +148,18 @@ def dual_descent(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray,
     """Hinge loss by dual coordinate descent over unit-length rows (ratio per place, and a constant for the bias)."""
     w, bias, alpha = np.zeros(len(ratios)), 0.0, np.zeros(len(rows))
     sign = np.where(labels == 1, 1.0, -1.0)
-    values = [ratios[x] for x in rows]
-    length = np.array([np.sqrt((v * v).sum() + 1.0) for v in values])
+    length = np.array([np.sqrt((ratios[x] ** 2).sum() + 1.0) for x in rows])
     weight = np.where(labels == 1, 1.0, max(1.0, (labels == 1).sum() / max((labels == 0).sum(), 1)) ** 0.5) * cost
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            gradient = sign[i] * (w[rows[i]] @ values[i] + bias) / length[i] - 1
+            places = rows[i]
+            values = ratios[places]  # looked up each time: kept for all rows they are twice as large as the rows
+            gradient = sign[i] * (w[places] @ values + bias) / length[i] - 1
             step = min(max(alpha[i] - gradient, 0.0), weight[i]) - alpha[i]
             if step:
                 alpha[i] += step
-                w[rows[i]] += (step * sign[i] / length[i]) * values[i]
+                w[places] += (step * sign[i] / length[i]) * values
                 bias += step * sign[i] / length[i]
     return w, bias
 
@@ -206,6 +207,8 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         w, bias = dual_descent(x, own, ratios)
         margins = np.array([(w[p] @ ratios[p] + bias) / np.sqrt((ratios[p] ** 2).sum() + 1.0) for p in x])
         slope, offset = calibrate(margins, own)
+        del x, encoded
+        release()
         return pa.table({"w": pa.array([w.tobytes()], pa.binary()), "rest": pa.array([[bias, slope, offset]], pa.list_(pa.float64()))})
 
     sample = gathered.filter(f"block = {_SAMPLE}").orderBy("label", "data").limit(fit_rows)
@@ -233,7 +236,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(found)], ["row", "score"])
 
     row_type = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {row_type}, score double")
+    return rows.mapInArrow(releasing(run), f"row {row_type}, score double")
 
 
 def held_out(id_col: Column) -> Column:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inventrace.llm.common import flat, slices, stored
+from inventrace.llm.common import flat, releasing, slices, stored
 
 SHINGLE = 3
 DISTANCE = 3
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("body"), text.alias("text"))
-    return rows.mapInArrow(run, "doc_id long, body long, fp long")
+    return rows.mapInArrow(releasing(run), "doc_id long, body long, fp long")
 
 
 def block_masks(blocks: int, agree: int) -> list[int]:
@@ -140,7 +140,7 @@ def links_in(rows: DataFrame, distance: int, crowd: int) -> DataFrame:
                 links += tree(unsigned[a:b], distance)
         return links, [x[stop:] for x in got], open_crowd
 
-    return rows.repartition("choice", "key").sortWithinPartitions("choice", "key").mapInArrow(run, _EDGES)
+    return rows.repartition("choice", "key").sortWithinPartitions("choice", "key").mapInArrow(releasing(run), _EDGES)
 
 
 def _edges(found: list[tuple[np.uint64, np.uint64]]) -> pa.RecordBatch:

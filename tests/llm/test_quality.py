@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -99,3 +100,14 @@ def test_quality_takes_odd_and_no_rows(spark, odd, empty, model):
     assert {r.score for r in quality.score(odd, none).collect()} == {0.5}
     one = quality.train(frame(spark, [(1, "abc", 1), (2, None, 1), (3, "x", None)], "doc_id long, text string, label int"))
     assert all(r.score == pytest.approx(0.75) for r in quality.score(odd, one).collect())
+
+
+def test_fit_keeps_no_second_copy_of_its_rows():
+    rng = np.random.default_rng(1)
+    rows = [np.sort(rng.choice(1 << 16, 3000, replace=False)).astype(np.int32) for _ in range(400)]
+    ratios = rng.normal(size=1 << 16)
+    tracemalloc.start()
+    quality.dual_descent(rows, np.arange(400) % 2, ratios, epochs=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < sum(x.nbytes for x in rows)
