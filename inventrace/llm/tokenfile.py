@@ -7,8 +7,10 @@ import os
 import string
 import zlib
 from array import array
-from collections.abc import Iterator
+from codecs import charmap_decode
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate, chain, pairwise
 from operator import attrgetter
 
 import numpy as np
@@ -17,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inventrace.llm.common import flat, slices, stored, word_starts
+from inventrace.llm.common import flat, keep_freed, releasing, slices, stored, word_starts
 
 END_ID = 2
 #: A shard is closed when it has this many ids.
@@ -42,6 +44,8 @@ _KIND[list(_PUNCTUATION.encode())] = _SIGN
 _LEAD = 0xC3
 _LATIN = np.zeros(256, bool)
 _LATIN[[b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = True
+#: The bytes of lower-case letters up to U+00FF; text in UTF-8 that has no others is such letters only.
+_SMALL = string.ascii_lowercase.encode() + bytes([_LEAD, *(b for b in range(0x9F, 0xC0) if b != 0xB7)])
 
 
 def split_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -119,7 +123,7 @@ class WordTokenizer:
         self.cuttable = cuttable(definition)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.letters = byte_letters()
+        self.letters = "".join(letter for _, letter in sorted(byte_letters().items()))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -135,27 +139,25 @@ class WordTokenizer:
             return np.concatenate([np.zeros(0, "<u4"), *ids]), np.cumsum([0, *map(len, ids)])
         words, per = split_pieces(data, offsets)
         words = words.dictionary_encode()
-        found = self._look_up(words.dictionary.to_pylist())
-        pool = np.frombuffer(b"".join(found), "<u4")
-        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        begin = np.cumsum(size) - size
-        use = words.indices.to_numpy(zero_copy_only=False)
-        sizes = size[use]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        at = np.arange(ends[-1])
-        at += np.repeat(begin[use] - ends[:-1], sizes)
-        return pool[at], ends[np.concatenate([[0], np.cumsum(per)])]
+        found = self._look_up(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, ends = flat(pa.array(found, pa.large_binary()).take(words.indices))
+        return ids.view("<u4"), ends[np.concatenate([[0], np.cumsum(per)])] // 4
 
     def _look_up(self, words: list[bytes]) -> list[bytes]:
         """The ids of each of some distinct words."""
         young, old = self.young, self.old
-        new = [w for w in words if w not in young]
+        found = list(map(young.get, words))
+        missing = [k for k, ids in enumerate(found) if ids is None]
         if old:
-            young.update((w, old[w]) for w in new if w in old)
-            new = [w for w in new if w not in old]
-        learned = self._words(new)
+            for k in missing:
+                ids = old.get(words[k])
+                if ids is not None:
+                    young[words[k]] = found[k] = ids
+            missing = [k for k in missing if found[k] is None]
+        learned = self._words([words[k] for k in missing])
         young.update(learned)
-        found = list(map(young.__getitem__, words))
+        for k in missing:
+            found[k] = learned[words[k]]
         for w in [w for w in learned if len(w) > MEMO_BYTES]:
             del young[w]
         if len(young) > MEMO_WORDS // 2:
@@ -163,13 +165,13 @@ class WordTokenizer:
         return found
 
     def _words(self, new: list[bytes]) -> dict[bytes, bytes]:
-        got: dict[bytes, bytes] = {}
+        young, old, merge, letters = self.young, self.old, self.library.model.tokenize, self.letters
+        small = [w for w in new if not w.translate(None, _SMALL)]  # most are: letters that :func:`split_pieces` has cut out
+        got = dict(zip(small, _merged(map(merge, [w.decode() if w.isascii() else charmap_decode(w, "strict", letters)[0] for w in small])), strict=True))
         cut: dict[bytes, tuple[bytes, bytes]] = {}
         ask: set[bytes] = set()
-        young, old, merge, letters = self.young, self.old, self.library.model.tokenize, self.letters
         for w in new:
-            if w.isalpha() and w.islower():  # most are: plain ASCII letters that :func:`split_pieces` has cut out
-                got[w] = array("I", map(_ID, merge(w.decode()))).tobytes()
+            if w in got:
                 continue
             low = w.decode().lower()
             core = low.rstrip(_PUNCTUATION)
@@ -178,7 +180,7 @@ class WordTokenizer:
                 continue
             end, own = low[len(core) :].encode(), core.encode()
             if own not in got and own not in young and own not in old:
-                got[own] = array("I", map(_ID, merge(core if core.isascii() else own.decode("latin-1").translate(letters)))).tobytes()
+                got[own] = array("I", map(_ID, merge(core if core.isascii() else charmap_decode(own, "strict", letters)[0]))).tobytes()
             if end and end not in young and end not in old:
                 ask.add(end)
             if w != own:
@@ -194,8 +196,15 @@ class WordTokenizer:
         return got
 
 
-#: Pairs are counted by hashed slots first; pairs over a document's end are in the slot behind the last.
-_SLOTS = 1 << 20
+def _merged(tokens: Iterable[list]) -> list[bytes]:
+    """The ids of each list of the library's tokens."""
+    lists = list(tokens)
+    ids = array("I", map(_ID, chain.from_iterable(lists))).tobytes()
+    return [ids[4 * a : 4 * b] for a, b in pairwise(accumulate(map(len, lists), initial=0))]
+
+
+#: Pairs are counted by hashed slots first, few enough for a core's cache; pairs over a document's end are in the slot behind the last.
+_SLOTS = 1 << 18
 
 
 def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -203,7 +212,7 @@ def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     out = left.astype(np.uint32, copy=False) * np.uint32(0x9E3779B1)
     out += right.astype(np.uint32, copy=False) * np.uint32(0x85EBCA77)
     out &= np.uint32(_SLOTS - 1)
-    return out.view(np.int32)
+    return out.astype(np.intp)
 
 
 def _apart(where: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -222,7 +231,7 @@ def _apart(where: np.ndarray, rank: np.ndarray) -> np.ndarray:
 def _counted(seq: np.ndarray, slot: np.ndarray, full: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(pairs, their counts, places, pair at each place) of the slots with at least ``least`` places; a pair fills no more than its slot."""
     ok = np.append(full >= least, False)
-    at = np.flatnonzero(ok[slot])
+    at = np.flatnonzero(ok.take(slot, mode="clip"))  # every slot is in range; numpy need not look
     keys = seq[at].astype(np.int64) << 32 | seq[at + 1]
     ordered = np.sort(keys)
     cut = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
@@ -232,7 +241,7 @@ def _counted(seq: np.ndarray, slot: np.ndarray, full: np.ndarray, least: int) ->
 def repair(ids: np.ndarray, heads: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, heads, rules): pairs replaced by nonterminals base, base + 1, ... whose rules are pairs of earlier symbols.
 
-    ``heads`` marks first ids of documents; no pair goes over a document's end. A round counts the pairs, takes the frequent
+    ``heads`` are the places of first ids of documents, the first of them 0; no pair goes over a document's end. A round counts the pairs, takes the frequent
     ones in order of frequency and replaces each occurrence that no better neighbour overlaps.
     """
     seq, rules, n_rules = ids.astype(np.uint32), [], 0
@@ -240,7 +249,7 @@ def repair(ids: np.ndarray, heads: np.ndarray, base: int) -> tuple[np.ndarray, n
         if len(seq) < 2:
             break
         slot = _slot(seq[:-1], seq[1:])
-        slot[heads[1:]] = _SLOTS
+        slot[heads[1:] - 1] = _SLOTS
         full = np.bincount(slot, minlength=_SLOTS + 1)[:_SLOTS]
         pairs, counts, at, keys = _counted(seq, slot, full, max(LEAST, full.max() // STEP))
         if len(counts) and counts.max() < full.max():  # the fullest slot holds several pairs: the bar is lower than it told
@@ -267,7 +276,7 @@ def repair(ids: np.ndarray, heads: np.ndarray, base: int) -> tuple[np.ndarray, n
         n_rules += len(used)
         keep = np.ones(len(seq), bool)
         keep[chosen + 1] = False
-        seq, heads = seq[keep], heads[keep]
+        seq, heads = seq[keep], heads - np.searchsorted(chosen, heads - 1)
     return seq.astype(np.int64), heads, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
 
@@ -305,14 +314,12 @@ class Shard:
         counts = np.array([len(x) for x in ids])
         first_id = np.concatenate([[0], np.cumsum(counts)])
         flat = np.concatenate(ids)
-        heads = np.zeros(len(flat), bool)
-        heads[first_id[:-1]] = True
         base = int(flat.max()) + 1
-        symbols, heads, rules = repair(flat, heads, base)
+        symbols, heads, rules = repair(flat, first_id[:-1], base)
         lengths = np.ones(base + len(rules), np.int64)
         for k, (a, b) in enumerate(rules.tolist()):
             lengths[base + k] = lengths[a] + lengths[b]
-        return cls(base, rules, lengths[base:], symbols, doc_ids, np.append(np.flatnonzero(heads), len(symbols)), first_id)
+        return cls(base, rules, lengths[base:], symbols, doc_ids, np.append(heads, len(symbols)), first_id)
 
     def to_bytes(self) -> bytes:
         ids = np.array([0 if d is None else d for d in self.doc_ids], "<i8")
@@ -392,7 +399,9 @@ def write_shards(docs: DataFrame, definition: str, id_col: str = "doc_id", text_
     """
     packed = docs.sparkSession.sparkContext.broadcast(definition)
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         tokenizer, part = _tokenizer(packed.value), TaskContext.get().partitionId()
         names: list[int | None] = []
         ids: list[np.ndarray] = []
@@ -428,7 +437,9 @@ _READ = "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long"
 def read_shards(shards: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document in the shards, from their decoded ids."""
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         for batch in batches:
             for r in range(len(batch)):
                 shard = Shard.from_bytes(batch.column("body")[r].as_py())
