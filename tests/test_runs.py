@@ -112,6 +112,20 @@ def test_only_the_snapshot_is_shuffled(spark, place):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("inventrace_")]
 
 
+def test_a_whole_copy_alone_is_read_as_it_stands(spark, place, monkeypatch):
+    root, path = place
+    monkeypatch.setattr("inventrace.plans.sync.MOST_CHANGES", 0)  # every run writes a whole copy
+    for d in range(2):
+        land(root, DAY + timedelta(days=d), {f"s{k}": "UP" for k in range(9)})
+        Sync(spark, str(root), path, DAY + timedelta(days=d)).run(["cloudformation"])
+    store = StateStore(spark, path)
+    manifest = store.log("cloudformation").read("20240102T120000")
+    assert len(manifest.parts) == 1
+    with store.clustered(STACKS, manifest) as state:
+        assert "Aggregate" not in state._jdf.queryExecution().executedPlan().toString()
+        assert sorted(state.collect()) == sorted(store.read(STACKS).select(*state.columns).collect())
+
+
 def test_changes_are_merged_into_a_whole_copy(spark, place):
     root, path = place
     store, seen = StateStore(spark, path), []
